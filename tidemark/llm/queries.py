@@ -1,9 +1,13 @@
 """The queries of this subpackage and, where SQL can express one, its DuckDB form."""
 
+from tidemark.llm.bpe import op8_byte_bpe
+from tidemark.llm.media import op1_media
 from tidemark.llm.simhash import op3_simhash
 
 QUERIES = {
+    "op1_media": op1_media,
     "op3_simhash": op3_simhash,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {}
