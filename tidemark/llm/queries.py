@@ -1,13 +1,21 @@
 """The queries of this subpackage and, where SQL can express one, its DuckDB form."""
 
 from tidemark.llm.bpe import op8_byte_bpe
+from tidemark.llm.covertree import op7_embeddings
 from tidemark.llm.media import op1_media
+from tidemark.llm.mixing import op2_mixing
 from tidemark.llm.simhash import op3_simhash
+from tidemark.llm.urls import OP5_SQL, op5_urls
 
 QUERIES = {
     "op1_media": op1_media,
+    "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
+    "op5_urls": op5_urls,
+    "op7_embeddings": op7_embeddings,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_urls": OP5_SQL,
+}
