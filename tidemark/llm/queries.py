@@ -2,6 +2,7 @@
 
 from tidemark.llm.bpe import op8_byte_bpe
 from tidemark.llm.covertree import op7_embeddings
+from tidemark.llm.ctw import op9_ctw
 from tidemark.llm.media import op1_media
 from tidemark.llm.mixing import op2_mixing
 from tidemark.llm.simhash import op3_simhash
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_urls": op5_urls,
     "op7_embeddings": op7_embeddings,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_ctw": op9_ctw,
 }
 
 ORACLES: dict[str, str] = {
