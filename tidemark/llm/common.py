@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -19,7 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         if not _OWN:
-            _OWN.append("file://" + tempfile.mkdtemp(prefix="tidemark-"))
+            own = tempfile.mkdtemp(prefix="tidemark-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            _OWN.append("file://" + own)
         folder = _OWN[0]
     return folder.rstrip("/")
 

@@ -6,12 +6,14 @@ from tidemark.llm.ctw import op9_ctw
 from tidemark.llm.media import op1_media
 from tidemark.llm.mixing import op2_mixing
 from tidemark.llm.simhash import op3_simhash
+from tidemark.llm.toxicity import op4_toxicity
 from tidemark.llm.urls import OP5_SQL, op5_urls
 
 QUERIES = {
     "op1_media": op1_media,
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op5_urls": op5_urls,
     "op7_embeddings": op7_embeddings,
     "op8_byte_bpe": op8_byte_bpe,
