@@ -118,6 +118,14 @@ def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "so
     return rows.select("id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def apply(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+    """The mix itself: each row of df as often as it is taken, with df's own columns; rows without words go."""
+    units = mix(df, id, text, source, **how).filter("taken > 0").select(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")).distinct()
+    same = df[id].cast("long").eqNullSafe(F.col("_id")) & df[source].cast("string").eqNullSafe(F.col("_source")) & (words(df[text]) == F.col("_size"))
+    rows = df.join(units, same).select(*[df[c] for c in df.columns], F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
+    return rows.drop("_copy")
+
+
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
     done = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return done.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")

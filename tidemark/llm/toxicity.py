@@ -262,6 +262,19 @@ def score(df: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -
     return df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "id long, score double, passages array<struct<start: bigint, end: bigint, score: double, expected: double>>")
 
 
+def keep_clean(df: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of df whose score is below the threshold, with all their columns; whole texts, no shuffle."""
+    sent, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text)
+
+    def run(batches):
+        m = sent.value
+        of = m.scorer()
+        for b in batches:
+            yield b.filter(pa.array([m.probability(m.statistic(tokens(t.as_py() or ""), of)) < threshold for t in b.column(at)], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 FOLDS, HELD, CURVE = 5, 0, 4
 
 
