@@ -1,19 +1,40 @@
-"""Corpus pipeline over `documents`; its stages call operators of tidemark.llm."""
+"""From documents to token ids: toxic texts go, near-duplicates go, sources are mixed, texts are encoded."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import common, simhash
+from tidemark.llm import bpe, common, mixing, simhash, toxicity
 
+#: The stages draw, learn and encode in ways SQL has no form for; tests hold them against plain versions.
 ORACLE_SQL = None
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.5 for toxicity; learned from the labels of the documents that are here."""
+    return toxicity.keep_clean(docs, toxicity.trained(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id."""
     return simhash.keep_one(docs)
 
 
-STAGES = [("simhash", dedup)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.apply(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids): one row for each time a document is taken."""
+    import public_tokenizers as P
+
+    done = bpe.encode(docs, bpe.read_ranks(spark, P.path("byte_bpe_multi_50k.tiktoken")), P.PATTERN)
+    return done.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [("toxicity", clean), ("simhash", dedup), ("mixing", mix), ("bpe", encode)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
