@@ -1 +1 @@
-
+"""Column functions of the timeline operators."""

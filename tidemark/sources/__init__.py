@@ -1 +1 @@
-
+"""Readers of transcripts, captions, speech segments, signals, frames and profiles."""
