@@ -48,7 +48,7 @@ def parse_vtt(files: DataFrame) -> DataFrame:
 def parse_segments(files: DataFrame) -> DataFrame:
     """(video_id, seq, start, end, text) of speech-to-text JSON (video_id, content): a list, or an object with `segments`."""
     segment = "array<struct<start: double, end: double, text: string>>"
-    both = F.coalesce(F.from_json("content", f"struct<segments: {segment}>")["segments"], F.from_json("content", segment))
+    both = F.when(F.ltrim("content").startswith("["), F.from_json("content", segment)).otherwise(F.from_json("content", f"struct<segments: {segment}>")["segments"])
     return files.select("video_id", F.posexplode(both).alias("seq", "s")).select("video_id", F.col("seq").cast("long").alias("seq"), "s.start", "s.end", "s.text")
 
 
