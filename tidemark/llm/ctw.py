@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from . import common
 
 END = 10  # a line feed: no byte of a word, and not the space between words
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
+#: Distinct keys that a counting task holds before it hands them on.
+HELD_KEYS = 2_000_000
 #: Most entries of each kind that are broadcast, at 16 bytes: 32 MB. The others are joined.
 BROADCAST = 1 << 21
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -88,22 +90,50 @@ def _slices(batch: pa.RecordBatch, column: int):
         yield start, texts[start:]
 
 
+class _Counts:
+    """Keys with two counts, added up part by part."""
+
+    def __init__(self):
+        self.parts, self.n = [], 0
+
+    def add(self, keys: np.ndarray, *counts: np.ndarray) -> None:
+        self.parts.append((keys, *counts))
+        self.n += len(keys)
+        if self.n > 2 * HELD_KEYS:
+            self.fold()
+
+    def fold(self) -> None:
+        keys, back = np.unique(np.concatenate([p[0] for p in self.parts] or [np.zeros(0, np.uint64)]), return_inverse=True)
+        sums = (np.bincount(back, np.concatenate([p[k] for p in self.parts] or [np.zeros(0)]), len(keys)).astype(np.int64) for k in (1, 2))
+        self.parts, self.n = [(keys, *sums)], len(keys)
+
+    def batch(self, kind: int) -> pa.RecordBatch:
+        self.fold()
+        keys, trained, total = self.parts[0]
+        self.parts, self.n = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys.view(np.int64)), pa.array(trained), pa.array(total)], ["kind", "key", "trained", "total"])
+
+
 def _counter(depth: int):
     def run(batches):
+        kinds = (_Counts(), _Counts())
         for b in batches:
             train = b.column(1).to_numpy(zero_copy_only=False)
             for at, texts in _slices(b, 0):
                 s = Stream(texts, depth)
                 mine = train[at : at + len(texts)]
-                grams, back = np.unique(s.grams * np.uint64(2) + mine[s.text_of_gram], return_counts=True)
+                grams, n = np.unique(s.grams * np.uint64(2) + mine[s.text_of_gram], return_counts=True)
+                kinds[0].add(grams >> np.uint64(1), n * (grams & np.uint64(1)).astype(np.int64), n)
                 words, n = np.unique(s.words[mine[s.text_of_word]], return_counts=True)
-                seen = (grams & np.uint64(1)).astype(np.int64)
-                ends = int(mine.sum())
-                key = np.concatenate([grams >> np.uint64(1), words, np.zeros(1, np.uint64)]).view(np.int64)
-                kind = np.concatenate([np.zeros(len(grams), np.int8), np.ones(len(words) + 1, np.int8)])
-                total = np.concatenate([back, n, [ends]])
-                trained = np.concatenate([back * seen, n, [ends]])
-                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key), pa.array(trained), pa.array(total)], ["kind", "key", "trained", "total"])
+                ends = [int(mine.sum())]
+                kinds[1].add(np.concatenate([words, np.zeros(1, np.uint64)]), np.concatenate([n, ends]), np.concatenate([n, ends]))
+                for k, counts in enumerate(kinds):
+                    if counts.n > HELD_KEYS:
+                        counts.fold()
+                        if counts.n > HELD_KEYS:
+                            yield counts.batch(k)
+        for k, counts in enumerate(kinds):
+            yield counts.batch(k)
 
     return run
 
