@@ -282,11 +282,18 @@ def fold(id) -> F.Column:
     return F.crc32(F.coalesce(id.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def trained(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model for documents (doc_id, text) from labels (doc_id, toxic), without those of the held-out fold."""
-    known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", "toxic").filter(fold(F.col("doc_id")) != HELD)
-    rows = docs.select("doc_id", "text").join(known, "doc_id")
-    return fit(rows.filter(fold(F.col("doc_id")) != CURVE).select("text", "toxic"), rows.filter(fold(F.col("doc_id")) == CURVE).select("text", "toxic"))
+def trained(docs: DataFrame, labels: DataFrame, most_texts: int = 200_000) -> Model:
+    """A model for documents (doc_id, text) from labels (doc_id, toxic), without those of the held-out fold.
+
+    At most about `most_texts` labels are used, chosen by a hash of the id. These ids, a few megabytes, are broadcast,
+    so texts are not shuffled; the labelled texts are then written once to the shared folder.
+    """
+    known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(fold(F.col("doc_id")) != HELD)
+    n = known.count()
+    if n > most_texts:
+        known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most_texts / n))
+    rows = common.stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select("text", "toxic", (fold(F.col("doc_id")) == CURVE).alias("curve")), "labelled")
+    return fit(rows.filter("NOT curve").select("text", "toxic"), rows.filter("curve").select("text", "toxic"), most_texts=most_texts)
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
