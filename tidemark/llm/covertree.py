@@ -310,3 +310,13 @@ def near_vectors(df: DataFrame, cosine: float = 0.98, id: str = "vec_id", vector
 
 def op7_embeddings(spark, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok FROM embeddings
+), n AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE ok),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+r AS (SELECT vec_id, vec_id AS c FROM v UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.c = l.a)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = r.vec_id) AS n_links, min(c) AS component_id, vec_id = min(c) AS kept FROM r GROUP BY vec_id
+"""

@@ -147,3 +147,31 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; they have no paths, so each gets one from its source and id, some named as licence files."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", F.expr(PATH).alias("path"))
     return scan(docs).withColumnRenamed("id", "doc_id")
+
+
+def _sql() -> str:
+    bag = "list_filter(string_split_regex(lower({}), '[^a-z0-9]+'), lambda w: w <> '')"
+    values = ", ".join(f"({k}, '{n}', '{x}')" for k, (n, x) in enumerate(TEMPLATES))
+    return f"""
+WITH docs AS (SELECT doc_id, {PATH} AS path, coalesce(text, '') AS text FROM documents),
+template(k, licence, txt) AS (VALUES {values}),
+tt AS (SELECT k, licence, t, count(*) AS n FROM (SELECT k, licence, unnest({bag.format('txt')}) AS t FROM template) x GROUP BY ALL),
+seen AS (SELECT t, count(*) AS df FROM (SELECT unnest(list_distinct({bag.format('text')})) AS t FROM docs) x GROUP BY t),
+idf AS (SELECT v.t, ln((1.0 + (SELECT count(*) FROM docs)) / (1.0 + coalesce(df, 0))) + 1 AS w FROM (SELECT DISTINCT t FROM tt) v LEFT JOIN seen USING (t)),
+weight AS (SELECT k, licence, t, n * w / sqrt(sum((n * w) * (n * w)) OVER (PARTITION BY k)) AS x FROM tt JOIN idf USING (t)),
+line AS (SELECT doc_id, path, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM docs),
+word AS (SELECT doc_id, path, line_no, t, count(*) AS n FROM (SELECT doc_id, path, line_no, unnest({bag.format('line')}) AS t FROM line) x GROUP BY ALL),
+norm AS (SELECT doc_id, line_no, sqrt(sum(CASE WHEN w IS NULL THEN n * pow(ln(1.0 + (SELECT count(*) FROM docs)) + 1, 2) ELSE pow(n * w, 2) END)) AS norm FROM word LEFT JOIN idf USING (t) GROUP BY ALL),
+dot AS (SELECT doc_id, path, line_no, k, licence, sum(n * w * x) AS dot FROM word JOIN idf USING (t) JOIN weight USING (t) GROUP BY ALL),
+hit AS (SELECT doc_id, path, line_no, k, licence, round(dot / norm, 6) AS cosine FROM dot JOIN norm USING (doc_id, line_no) WHERE round(dot / norm, 6) >= {THRESHOLD}),
+own AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, line_no, k) AS r FROM hit) x WHERE r = 1),
+file AS (SELECT * FROM (SELECT *, regexp_extract(path, '^(.*)/', 1) AS dir, row_number() OVER (PARTITION BY regexp_extract(path, '^(.*)/', 1) ORDER BY path) AS f FROM own WHERE regexp_matches(path, '{LICENCE_FILE}')) x WHERE f = 1),
+dirs AS (SELECT DISTINCT regexp_extract(path, '^(.*)/', 1) AS place FROM docs),
+nearest AS (SELECT * FROM (SELECT place, licence, cosine, path AS file, row_number() OVER (PARTITION BY place ORDER BY length(dir) DESC) AS r FROM dirs JOIN file ON dir = place OR dir = '' OR starts_with(place, dir || '/')) x WHERE r = 1)
+SELECT d.doc_id, d.path, coalesce(o.licence, n.licence) AS licence, coalesce(o.cosine, n.cosine) AS cosine,
+  CASE WHEN o.doc_id IS NOT NULL THEN 'header' WHEN n.place IS NOT NULL THEN 'directory' ELSE 'none' END AS origin, CASE WHEN o.doc_id IS NULL THEN n.file END AS from_path
+FROM docs d LEFT JOIN own o USING (doc_id) LEFT JOIN nearest n ON n.place = regexp_extract(d.path, '^(.*)/', 1)
+"""
+
+
+OP6_SQL = _sql()

@@ -192,3 +192,11 @@ def op10_warc(spark, sf_dir: str) -> DataFrame:
     folder = common.scratch(spark, "warc")
     index = write(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
     return read(index, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_CHARS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, {5 * k + 1}, 5) AS BIGINT) >> {s}) & 31), 1)" for k in range(8) for s in (15, 10, 5, 0))
+OP10_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, strlen(html) AS payload_bytes, {_CHARS} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM f
+"""
