@@ -68,3 +68,13 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(timeline.QUERIES))
+def test_no_nested_loops(spark, name):
+    plan = timeline.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and ("BroadcastNestedLoopJoin" not in plan or name in FIXTURE_LOOPS)
+
+
+#: Their fixture, not the operator, pairs each video with five appendix lines.
+FIXTURE_LOOPS = {"transcript_prefix", "transcript_all", "correction_audit", "pointers_outside_ads"}
