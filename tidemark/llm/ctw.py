@@ -138,29 +138,60 @@ def _counter(depth: int):
     return run
 
 
-def _log_gamma(x: Column) -> Column:
-    """Stirling's series eight further on, and back by the recurrence."""
+def _log_gamma(x):
+    """Stirling's series eight further on, and back by the recurrence; for a column or an array."""
+    log = F.log if isinstance(x, Column) else np.log
     y, product = x + 8, x
     for k in range(1, 8):
         product = product * (x + k)
     series = 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
-    return (y - 0.5) * F.log(y) - y + F.lit(0.5 * math.log(2 * math.pi)) + series - F.log(product)
+    return (y - 0.5) * log(y) - y + 0.5 * math.log(2 * math.pi) + series - log(product)
 
 
-def _log_kt(a: Column, b: Column) -> Column:
-    return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - F.lit(math.log(math.pi))
+def _log_kt(a, b):
+    """log of the estimate of a zeros and b ones, in any order."""
+    return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - math.log(math.pi)
 
 
-def _decisions(gram: Column) -> Column:
-    """A gram's eight decisions: which node of which context, and the bit taken."""
-    byte = gram.bitwiseAND(F.lit(255))
-    return F.array(*[
-        F.struct(
-            F.shiftleft(F.shiftright(gram, 8), 8).bitwiseOR(F.lit(1 << (7 - k)).cast("long").bitwiseOR(F.shiftright(byte, k + 1))).alias("node"),
-            F.shiftright(byte, k).bitwiseAND(F.lit(1)).alias("bit"),
-        )
-        for k in range(7, -1, -1)
-    ])
+class _Subtrees:
+    """The nodes from `split` bytes of context down to `depth`, of all grams whose last `split` context bytes are here.
+
+    A gram's eight decisions are nodes of its full context: the context's bytes, and a one with the bits decided so far.
+    A node's parent has the same decision in a context that lacks the oldest byte.
+    """
+
+    def __init__(self, grams: np.ndarray, trained: np.ndarray, depth: int, split: int):
+        byte, context = grams & np.uint64(255), grams >> np.uint64(8) << np.uint64(8)
+        nodes = np.concatenate([context | np.uint64(1 << (7 - k)) | (byte >> np.uint64(k + 1)) for k in range(7, -1, -1)])
+        self.bit = np.concatenate([(byte >> np.uint64(k)) & np.uint64(1) for k in range(7, -1, -1)]).astype(bool)
+        n = np.tile(trained.astype(float), 8)
+        keys, self.of = np.unique(nodes, return_inverse=True)
+        a, b = np.bincount(self.of, n * ~self.bit, len(keys)), np.bincount(self.of, n * self.bit, len(keys))
+        pw = _log_kt(a, b)
+        self.levels = [(keys, a, b, pw, np.ones(len(keys)), None)]  # the last: where a level's nodes are in the one above
+        for d in range(depth - 1, split - 1, -1):
+            above, up = np.unique(keys & np.uint64((1 << (8 * d + 8)) - 1), return_inverse=True)
+            self.levels[-1] = (*self.levels[-1][:5], up)
+            a, b, below = (np.bincount(up, x, len(above)) for x in (a, b, pw))
+            kt = _log_kt(a, b)
+            high = np.maximum(kt, below)
+            pw = high + np.log((np.exp(kt - high) + np.exp(below - high)) / 2)
+            keys = above
+            self.levels.append((keys, a, b, pw, np.exp(kt - pw) / 2, None))
+
+    def values(self, nodes: np.ndarray, p1: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """log10 of each gram's probability, given the mix down to the uppermost level here (nodes in order)."""
+        at = np.searchsorted(nodes, self.levels[-1][0])
+        p, r = p1[at], rest[at]
+        for k in range(len(self.levels) - 2, -1, -1):
+            _, a, b, _, w, up = self.levels[k]
+            p, r = p[up] + r[up] * w * (b + 0.5) / (a + b + 1), r[up] * (1 - w)
+        p = p[self.of]
+        return np.log10(np.where(self.bit, p, 1 - p)).reshape(8, -1).sum(0)
+
+
+#: Below this many context bytes a subtree is worked on by one task: of depth 5 it has at most 2^24 grams.
+SPLIT = 3
 
 
 def gram_values(grams: DataFrame, depth: int) -> DataFrame:
@@ -168,12 +199,23 @@ def gram_values(grams: DataFrame, depth: int) -> DataFrame:
 
     Every gram that is to be scored must be in the table, with 0 if no training text has it.
     """
-    taken = common.stored(grams.select("key", "trained", F.explode(_decisions(F.col("key"))).alias("d")).select("key", "trained", "d.node", "d.bit"), "decisions")
-    levels = [None] * (depth + 1)
-    a, b = F.sum(F.col("trained") * (1 - F.col("bit"))).cast("double"), F.sum(F.col("trained") * F.col("bit")).cast("double")
-    lowest = taken.groupBy("node").agg(a.alias("a"), b.alias("b")).withColumn("kt", _log_kt(F.col("a"), F.col("b")))
-    levels[depth] = common.stored(lowest.select("node", "a", "b", F.col("kt").alias("pw"), F.lit(1.0).alias("w")), "level")
-    for d in range(depth - 1, -1, -1):
+    spark, split = grams.sparkSession, min(SPLIT, depth)
+    context = lambda c: F.shiftrightunsigned(c, 8).bitwiseAND(F.lit((1 << (8 * split)) - 1))
+
+    def same(t: pa.Table):
+        return common.new_group(t.column("sub").to_numpy())
+
+    def dealt(rows):
+        return rows.withColumn("sub", context(F.col("key"))).repartition(common.parts(spark), "sub").sortWithinPartitions("sub")
+
+    def fold(batches):
+        for t in common.whole_groups(batches, same):
+            top = _Subtrees(t.column("key").to_numpy().view(np.uint64), t.column("trained").to_numpy(), depth, split).levels[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(top[0].view(np.int64)), *map(pa.array, top[1:5])], ["node", "a", "b", "pw", "w"])
+
+    levels = [None] * (split + 1)
+    levels[split] = common.stored(dealt(grams.select("key", "trained")).mapInArrow(fold, "node long, a double, b double, pw double, w double"), "level")
+    for d in range(split - 1, -1, -1):
         up = F.col("node").bitwiseAND(F.lit((1 << (8 * d + 8)) - 1))
         own = levels[d + 1].groupBy(up.alias("node")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("pw").alias("below"))
         own = own.withColumn("kt", _log_kt(F.col("a"), F.col("b")))
@@ -182,12 +224,24 @@ def gram_values(grams: DataFrame, depth: int) -> DataFrame:
         levels[d] = common.stored(own.withColumn("pw", pw).select("node", "a", "b", "pw", (F.exp(F.col("kt") - F.col("pw")) / 2).alias("w")), "level")
     one = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
     top = levels[0].select("node", (F.col("w") * one).alias("p1"), (1 - F.col("w")).alias("rest"))
-    for d in range(1, depth + 1):
+    for d in range(1, split + 1):
         above = top.select(F.col("node").alias("up"), F.col("p1").alias("p"), F.col("rest").alias("r"))
         up = F.col("node").bitwiseAND(F.lit((1 << (8 * d)) - 1))
         top = levels[d].join(above, up == F.col("up")).select("node", (F.col("p") + F.col("r") * F.col("w") * one).alias("p1"), (F.col("r") * (1 - F.col("w"))).alias("rest"))
-    bit = F.when(F.col("bit") == 1, F.col("p1")).otherwise(1 - F.col("p1"))
-    return taken.join(top, "node").groupBy("key").agg(F.sum(F.log10(bit)).alias("value"))
+
+    def value(batches):
+        for t in common.whole_groups(batches, same):
+            trained = t.column("trained").to_numpy(zero_copy_only=False)
+            gram = ~np.isnan(trained)
+            key, p1, rest = (t.column(k).to_numpy(zero_copy_only=False) for k in ("key", "p1", "rest"))
+            order = np.argsort(key[~gram].view(np.uint64))
+            keys = key[gram].view(np.uint64)
+            v = _Subtrees(keys, trained[gram], depth, split).values(key[~gram].view(np.uint64)[order], p1[~gram][order], rest[~gram][order])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(v)], ["key", "value"])
+
+    none = F.lit(None).cast("double")
+    both = grams.select("key", F.col("trained").cast("double").alias("trained"), none.alias("p1"), none.alias("rest")).union(top.select("node", none, "p1", "rest"))
+    return dealt(both).mapInArrow(value, "key long, value double")
 
 
 class Lookup:
@@ -233,7 +287,7 @@ def score(df: DataFrame, id: str = "doc_id", text: str = "text", depth: int = 5,
 
     Training texts are those whose crc32 of the id as text, modulo `fold`, is not `held`. Null and empty texts have one
     token, the end; a null id counts as the empty text. Repeated rows are each counted and scored. base_score is the
-    unigram's log10 probability, score the tree's; both are of the lower-cased words and the end. Without training texts
+    unigram's log10 probability, score the trees'; both are of the lower-cased words and the end. Without training texts
     the base is 0 and every bit costs one bit. Other columns are not looked at; an empty table gives an empty result.
     """
     spark = df.sparkSession
@@ -245,11 +299,12 @@ def score(df: DataFrame, id: str = "doc_id", text: str = "text", depth: int = 5,
     base = lambda c: math.log10((c + 0.5) / (n + 0.5 * (v + 1)))
     values = common.stored(gram_values(counts.filter("kind = 0").select("key", "trained"), depth).join(counts.filter("kind = 0").select("key", "total"), "key"), "values")
 
-    def sent(table, count, value):
-        t = _commonest(table, count, broadcast).select("key", value).toArrow()
+    def sent(table, count, value, most):
+        t = _commonest(table, count, most).select("key", value).toArrow()
         return spark.sparkContext.broadcast((t.column(0).to_numpy().view(np.uint64), t.column(1).to_numpy()))
 
-    hot_grams, hot_words = sent(values, "total", "value"), sent(words, "c", "c")
+    # a fixed part of the words, so that as much is left to join at every size
+    hot_grams, hot_words = sent(values, "total", "value", broadcast), sent(words, "c", "c", min(broadcast, v // 8))
 
     def run(batches):
         grams, known = Lookup(*hot_grams.value), Lookup(*hot_words.value)
@@ -272,7 +327,7 @@ def score(df: DataFrame, id: str = "doc_id", text: str = "text", depth: int = 5,
                     late_words = _lists(np.concatenate([s.text_of_word[~hit], np.arange(k)]), np.concatenate([s.words[~hit], np.zeros(k, np.uint64)]), k)
                 late_grams = _lists(s.text_of_gram[~found], s.grams[~found], k)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, k), b.column(1).slice(at, k), pa.array(tokens.astype(np.int64)), pa.array(n_known.astype(np.int64)), pa.array(line), pa.array(tree), pa.array(s.lengths), late_words, late_grams],
+                    [b.column(0).slice(at, k), b.column(1).slice(at, k), pa.array(tokens.astype(np.int64)), pa.array(n_known.astype(np.int64)), pa.array(line.astype(float)), pa.array(tree.astype(float)), pa.array(s.lengths), late_words, late_grams],
                     ["id", "train", "n_tokens", "n_known", "line", "tree", "bytes", "late_words", "late_grams"],
                 )
 
