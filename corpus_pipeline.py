@@ -17,8 +17,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id."""
-    return simhash.keep_one(docs)
+    """Of each group of near-duplicates (Jaccard 0.8 or more of five-word shingles) the document with the smallest doc_id."""
+    return simhash.keep_one_similar(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

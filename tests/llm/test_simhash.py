@@ -78,3 +78,44 @@ def test_components_on_a_chain(spark):
     chain = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     got = {r.id: r.component for r in common.components(chain).collect()}
     assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100}
+
+
+def five_words(text):
+    w = (text or "").lower().split()
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_stage_drops_near_copies_from_jaccard_0_8(spark):
+    """Planted copies at 0.8 to 0.97 go, those below stay; a chain, short texts and a crowd are as brute force says."""
+    import random
+
+    import corpus_pipeline
+    from tests.llm.conftest import words
+
+    rng = random.Random(5)
+    rows = []
+    for base in range(12):
+        w = words(base + 300, 300).split()
+        rows.append((base * 100, " ".join(w)))
+        for k in (1, 2, 4, 6, 7, 9):
+            v = list(w)
+            for j in range(k):
+                v[10 + 30 * j] = f"new{j}"
+            rows.append((base * 100 + k, " ".join(v)))
+    for k in range(90):
+        w = (words(1, 12) + " " + words(2 + k % 4, 40)).split()
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(5)}"
+        rows.append((5000 + k, " ".join(w[: 52 - rng.randrange(4)])))
+    rows += [(6000 + k, t) for k, t in enumerate([None, "", "a b", "A  b", "a b c", "one two three four five six"])]
+    sets = [five_words(t) for _, t in rows]
+    group = list(range(len(rows)))
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])]
+    for i, j in near:
+        low, high = sorted((group[i], group[j]))
+        group = [low if g == high else g for g in group]
+    want = {i for k, (i, _) in enumerate(rows) if group[k] == k}
+    got = {r.doc_id for r in corpus_pipeline.dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert got == want
+    assert not {b * 100 + k for b in range(12) for k in (1, 2, 4, 6)} & got
+    assert sum(k in got for k in range(5000, 5090)) < 60

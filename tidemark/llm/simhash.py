@@ -25,15 +25,21 @@ FAN = 16
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
+def shingles(text: bytes, words: int) -> list[bytes]:
+    """Runs of `words` words; a shorter text is one shingle, a text without words has none."""
+    found = text.lower().split()  # both know ASCII only: A-Z, and \x20 and \x09 to \x0d
+    if not found:
+        return []
+    if len(found) < words:
+        return [b" ".join(found)]
+    return [b" ".join(x) for x in zip(*(found[k:] for k in range(words)))]
+
+
 def fingerprint(text: bytes, words: int = 4, seed: int = SEED) -> int:
     """The 64-bit SimHash of a text's shingles; no word gives zero."""
-    found = text.lower().split()  # both know ASCII only: A-Z, and \x20 and \x09 to \x0d
+    found = shingles(text, words)
     if not found:
         return 0
-    if len(found) < words:
-        found = [b" ".join(found)]
-    elif words > 1:
-        found = [b" ".join(x) for x in zip(*(found[k:] for k in range(words)))]
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(x, seed) for x in found], dtype="<u8")
     at = h.view(np.uint8).reshape(-1, 8) + 256 * np.arange(8, dtype=np.uint16)
@@ -215,11 +221,130 @@ def op3_simhash(spark, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def hashes(text: bytes, words: int, seed: int = SEED) -> np.ndarray:
+    """The set of a text's shingles as 64-bit hashes, ascending."""
+    return np.unique(np.array([xxhash.xxh64_intdigest(x, seed) for x in shingles(text, words)], dtype=np.uint64))
+
+
+def common_shingles(df: DataFrame, text: str, words: int, sample: int = 4_000, least: int = 4, most: int = 100_000) -> np.ndarray:
+    """Hashes of shingles that many texts have, rarest first, judged by about `sample` texts.
+
+    They only say which shingles `similar` looks at last. What is found does not depend on them.
+    """
+    n = df.count()
+    some = df.select(F.col(text).cast("string").alias("text"))
+    if n > sample:
+        some = some.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * sample / n))
+
+    def run(batches):
+        for b in batches:
+            found = np.concatenate([np.zeros(0, np.uint64), *(hashes(x, words) for x in common.utf8(b.column(0)))])
+            h, n = np.unique(found, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    often = some.distinct().mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    rows = often.orderBy(F.desc("n"), "h").limit(most).collect()
+    return np.array([r.h for r in reversed(rows)], dtype=np.int64).view(np.uint64)
+
+
+def _prefixes(words: int, late: np.ndarray):
+    order = np.argsort(late)
+    known = late[order]
+
+    def run(batches):
+        for b in batches:
+            key, size, first = [], [], []
+            for x in common.utf8(b.column(2)):
+                h = hashes(x, words)
+                rank = np.zeros(len(h), dtype=np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    rank = np.where(known[at] == h, order[at] + 1, 0)
+                key.append(xxhash.xxh64_intdigest(h.tobytes(), SEED))
+                size.append(len(h))
+                first.append(h[np.lexsort((h, rank))][: len(h) - (4 * len(h) + 4) // 5 + 1].view(np.int64))
+            rows = [b.column(0), b.column(1), pa.array(np.array(key, np.uint64).view(np.int64)), pa.array(size, pa.int32()), pa.array(first, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(rows, ["id", "th", "key", "n", "first"])
+
+    return run
+
+
+def _may_link(a: str, n_a: str, pos_a: str, b: str, n_b: str, pos_b: str) -> Column:
+    """Can two sets reach 0.8 if this bucket's shingle is the first that they share? What stands from there on bounds it."""
+    most = F.least(F.col(n_a) - F.col(pos_a), F.col(n_b) - F.col(pos_b))
+    return (F.col(a) < F.col(b)) & (9 * most >= 4 * (F.col(n_a) + F.col(n_b)))
+
+
+def _checked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(a, b): the pairs whose sets of shingles have a Jaccard similarity of 0.8 or more, from the whole texts."""
+
+    def run(batches):
+        for b in batches:
+            found = [hashes(x, words) for x in common.utf8(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))], ["key", "set"])
+
+    # a shared shingle stands in both prefixes, or behind that of the text whose prefix ends first
+    heads = [classes.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("first").alias(f"first{k}")) for k in "ab"]
+    behind = F.greatest(F.col("na") - F.size("firsta"), F.col("nb") - F.size("firstb"))
+    most = F.size(F.array_intersect("firsta", "firstb")) + behind
+    pairs = common.stored(pairs.join(heads[1], "b").join(heads[0], "a").filter(9 * most >= 4 * (F.col("na") + F.col("nb"))).select("a", "b"), "pairs")
+    need = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    named = classes.select("key", F.col("rep").alias("r"), F.col("th").alias("t")).join(need, "key", "left_semi")
+    rows = texts.join(named, F.col("id").eqNullSafe(F.col("r")) & (F.col("th") == F.col("t"))).select("key", "text")
+    sets = common.stored(rows.mapInArrow(run, "key long, set array<bigint>").dropDuplicates(["key"]), "sets")
+    both = pairs.join(sets.select(F.col("key").alias("b"), F.col("set").alias("y")), "b").join(sets.select(F.col("key").alias("a"), F.col("set").alias("x")), "a")
+    return both.filter(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
+
+
+def similar(df: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
+    """(id, component_id), one row per row of df: texts link when the Jaccard similarity of their sets of `words`-word
+    shingles is 0.8 or more, all such pairs and no others; ids and components are as in `near_duplicates`.
+
+    No Hamming radius that an index can search holds all of these pairs, so candidates come from the sets: two that are
+    this similar share one of the first fifth of their shingles, in whatever order all texts follow. Equal sets are one
+    node. The members of a bucket are first checked against its smallest; what that joins is not compared again, so a
+    group of g near copies costs about g checks.
+    """
+    texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
+    late = common_shingles(df, text, words)
+    prints = common.stored(texts.select("id", "th", "text").mapInArrow(_prefixes(words, late), "id long, th long, key long, n int, first array<bigint>"), "prefixes")
+    classes = prints.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("r"), F.first("n").alias("n"), F.first("first").alias("first"))
+    classes = common.stored(classes.select("key", F.col("r.id").alias("rep"), F.col("r.th").alias("th"), "n", "first"), "classes")
+    tokens = classes.select("key", "n", F.posexplode("first").alias("pos", "token"))
+    met = tokens.groupBy("token").agg(F.min(F.struct("key", "n", "pos")).alias("lead"), F.max("key").alias("last")).filter("lead.key < last").select("token", "lead")
+    shared = common.stored(tokens.join(met, "token"), "shared")
+    stars = shared.filter(_may_link("lead.key", "lead.n", "lead.pos", "key", "n", "pos")).select(F.col("lead.key").alias("a"), F.col("key").alias("b"))
+    stars = common.stored(stars.distinct(), "stars")
+    near = common.stored(_checked(stars, classes, texts, words), "near")
+
+    ends = common.components(near).withColumnRenamed("id", "key")
+    at = common.stored(shared.join(ends, "key", "left").select("token", "key", "n", "pos", F.coalesce("component", "key").alias("c")), "placed")
+    mixed = at.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("token")
+    left, right = (at.join(mixed, "token", "left_semi").select("token", *[F.col(c).alias(c + s) for c in ("key", "n", "pos", "c")]) for s in "lr")
+    apart = (F.col("cl") != F.col("cr")) & _may_link("keyl", "nl", "posl", "keyr", "nr", "posr")
+    rest = left.join(right, (left.token == right.token) & apart).select(F.col("keyl").alias("a"), F.col("keyr").alias("b")).distinct()
+    rest = common.stored(rest.join(stars, ["a", "b"], "left_anti"), "rest")
+    links = near.union(_checked(rest, classes, texts, words))
+
+    ends = common.components(links).withColumnRenamed("id", "key")
+    named = classes.join(ends, "key", "left").select("key", "rep", F.coalesce("component", "key").alias("c"))
+    of = named.join(named.groupBy("c").agg(F.min("rep").alias("component_id")), "c").select("key", "component_id")
+    return prints.join(of, "key").select("id", "component_id")
+
+
+def _kept(df: DataFrame, found: DataFrame, id: str) -> DataFrame:
+    kept = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_kept")).distinct()
+    return df.join(kept, df[id].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+
+
 def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of df that no near-duplicate with a smaller id stands for, with df's own columns.
 
     Of rows that repeat the kept id all stay; rows without an id stay only if nothing they link to has one.
     """
-    found = near_duplicates(df, id, text)
-    kept = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_kept")).distinct()
-    return df.join(kept, df[id].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    return _kept(df, near_duplicates(df, id, text), id)
+
+
+def keep_one_similar(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """As `keep_one`, with the links of `similar` in place of fingerprints."""
+    return _kept(df, similar(df, id, text), id)
