@@ -58,6 +58,22 @@ def test_toxicity_without_labels(spark, awkward, empty):
     assert len(scores) == awkward.count() and all(0 <= r.score <= 1 for r in scores)
 
 
+@pytest.mark.parametrize("kind", ["none", "clean", "toxic", "no clean curve"])
+def test_toxicity_without_two_classes(spark, tmp_path, kind):
+    """Labels that tell nothing apart drop nothing; where only the curve fold lacks a class, the others still teach."""
+    import corpus_pipeline as cp
+
+    rows = [(k, words(k, 60) + (" vilestem" if k % 4 == 3 else ""), "en", "s", 1) for k in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    curve = lambda k: zlib.crc32(str(k).encode()) % toxicity.FOLDS == toxicity.CURVE
+    given = {"none": [], "clean": [(k, 1, 0) for k in range(160)], "toxic": [(k, 1, 1) for k in range(160)], "no clean curve": [(k, 1, int(k % 4 == 3)) for k in range(160) if k % 4 == 3 or not curve(k)]}[kind]
+    spark.createDataFrame(given, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    model = toxicity.trained(docs, spark.read.parquet(str(tmp_path / "labels.parquet")))
+    kept = {r.doc_id for r in toxicity.keep_clean(docs, model).collect()}
+    assert kept == {r.doc_id for r in cp.clean(spark, docs, str(tmp_path)).collect()}
+    assert kept == {k for k in range(160) if kind != "no clean curve" or k % 4 != 3}
+
+
 def test_held_out_accuracy(spark):
     import os
 

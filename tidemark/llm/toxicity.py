@@ -187,7 +187,9 @@ def fit(texts: DataFrame, check: DataFrame, cost: float = 0.5, most_texts: int =
     """A model from labelled texts (text, toxic): log-odds from `texts`, and from `check` the law of chance and the curve.
 
     Each of the two is thinned to about `most_texts` rows by a hash of the text if it has more; that is the bound of
-    what training reads beyond a count, and of what the driver gets (three numbers a text of `check`).
+    what training reads beyond a count, and of what the driver gets (three numbers a text of `check`). If `check` lacks
+    a toxic text or a clean one with words, `texts` stand in for it. Labels that tell nothing apart (one class, none, no
+    feature) give every text their smoothed rate, held below one half: without evidence no text is called toxic.
     """
 
     def bounded(df):
@@ -195,6 +197,7 @@ def fit(texts: DataFrame, check: DataFrame, cost: float = 0.5, most_texts: int =
         return df if n <= most_texts else df.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * most_texts / n))
 
     texts, check = bounded(texts), bounded(check)
+    labels = texts.select("toxic").union(check.select("toxic"))
     model = Model(log_odds(texts, **odds), cost)
     sent = texts.sparkSession.sparkContext.broadcast(model)
 
@@ -213,9 +216,17 @@ def fit(texts: DataFrame, check: DataFrame, cost: float = 0.5, most_texts: int =
             rows = [pa.array(labels + [-1] * len(bins), pa.int32()), pa.array(sizes + list(bins.values()), pa.int64()), pa.array(best + list(bins), pa.float64())]
             yield pa.RecordBatch.from_arrays(rows, ["label", "n", "x"])
 
-    seen = common.stored(check.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(look, "label int, n long, x double"), "chance")
-    bins = {r.x: r.n for r in seen.filter("label = -1").groupBy("x").agg(F.sum("n").alias("n")).collect()}
-    if not bins or not model.odds:
+    bins = {}
+    for check in (check, texts) if model.odds else ():
+        seen = common.stored(check.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(look, "label int, n long, x double"), "chance")
+        bins = {r.x: r.n for r in seen.filter("label = -1").groupBy("x").agg(F.sum("n").alias("n")).collect()}
+        if bins and seen.filter("label = 1").limit(1).count():
+            break
+    if not bins:
+        n = {r.toxic: r.n for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        rate = min(0.49, (n.get(1, 0) + 0.05) / (n.get(0, 0) + n.get(1, 0) + 1))
+        model.slope, model.offset = 0.0, math.log(rate / (1 - rate))
+        model.alone = model.offset
         return model
     model.lam = _solve(bins, 0.1)
     best = seen.filter("label = 0 AND n > 0").select("n", "x").toPandas()
