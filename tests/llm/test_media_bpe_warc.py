@@ -42,6 +42,48 @@ def test_index_of_media(spark, empty):
     assert media.store_texts(empty).count() == 0
 
 
+def test_damaged_tables_cost_no_more_than_their_file(spark):
+    box, full = media._box, media._full
+
+    def movie(*tables, data=b""):
+        entry = full(b"stsd", struct.pack(">I", 1), box(b"raw "))
+        return box(b"mdat", data) + box(b"moov", box(b"trak", box(b"mdia", box(b"minf", box(b"stbl", entry, *tables)))))
+
+    nested = b""
+    for _ in range(1200):
+        nested = box(b"moov", nested)
+    stco, stsc = full(b"stco", struct.pack(">II", 1, 8)), full(b"stsc", struct.pack(">IIII", 1, 1, 1 << 28, 1))
+    files = [
+        nested,
+        movie(full(b"stsz", struct.pack(">II", 1, 1 << 28)), stco, stsc),
+        movie(full(b"stsz", struct.pack(">II", 0, 1 << 31)), stco, stsc),
+        movie(full(b"stsz", struct.pack(">II", 4, 2)), stco, full(b"stsc", struct.pack(">IIII", 1, 0, 2, 1)), full(b"stts", struct.pack(">III", 1, 2, 1)), data=bytes(8)),
+        movie(full(b"stsz", struct.pack(">II", 4, 2)), stco, full(b"stsc", struct.pack(">IIII", 1, 1, 2, 1)), full(b"stts", struct.pack(">III", 1, (1 << 32) - 1, 1)), data=bytes(8)),
+        box(b"moof", box(b"traf", full(b"tfhd", struct.pack(">I", 1)), full(b"trun", struct.pack(">I", (1 << 32) - 1)))),
+        box(b"moof", box(b"traf", full(b"trun", struct.pack(">I", 0)))),
+    ]
+    rows = spark.createDataFrame([(k, f) for k, f in enumerate(files)], "id long, media binary")
+    assert all(r.problem and r.tracks is None for r in media.index_media(rows).collect())
+
+
+def test_fragments():
+    """Samples of two fragments: sizes of their own, then those that the movie's defaults give."""
+    box, full = media._box, media._full
+    head = box(b"moov", box(b"trak", full(b"tkhd", struct.pack(">III", 0, 0, 7), flags=7), box(b"mdia", full(b"mdhd", struct.pack(">IIII", 0, 0, 25, 0)), box(b"minf", box(b"stbl", full(b"stsd", struct.pack(">I", 1), box(b"raw ")), full(b"stsz", struct.pack(">II", 0, 0)), full(b"stsc", struct.pack(">I", 0)), full(b"stco", struct.pack(">I", 0)))))), box(b"mvex", full(b"trex", struct.pack(">5I", 7, 1, 10, 4, media.NOT_ALONE))))
+
+    def piece(at, traf, data):
+        size = len(box(b"moof", traf(0)))
+        return box(b"moof", traf(size + 8)) + box(b"mdat", data)
+
+    one = piece(len(head), lambda by: box(b"traf", full(b"tfhd", struct.pack(">I", 7), flags=0x20000), full(b"tfdt", struct.pack(">I", 0)), full(b"trun", struct.pack(">IiI", 2, by, 0), struct.pack(">IIII", 10, 3, 10, 5), flags=0x305)), b"abcdefgh")
+    two = piece(len(head) + len(one), lambda by: box(b"traf", full(b"tfhd", struct.pack(">II", 7, 0), flags=0x20020), full(b"tfdt", struct.pack(">I", 20)), full(b"trun", struct.pack(">Ii", 2, by), flags=0x1)), b"ijklmnop")
+    data = head + one + two
+    (t,) = media.tracks(memoryview(data))
+    assert (t.codec, t.timescale, t.duration) == ("raw ", 25, 40)
+    assert t.sizes.tolist() == [3, 5, 4, 4] and t.times.tolist() == [0, 10, 20, 30] and t.keys.tolist() == [0, 2, 3]
+    assert media.samples(data, t) == b"abcdefghijklmnop"
+
+
 def test_boxes_of_other_writers():
     """64-bit sizes, a box to the end, own sample sizes, no table of keyframes, version 1 headers."""
     box, full = media._box, media._full
