@@ -235,3 +235,61 @@ def test_stream(spark, tmp_path):
     q.stop()
     got = sorted(((r.start - t0).total_seconds(), (r.end - t0).total_seconds()) for r in spark.table("ads").collect())
     assert got == [(-8.0, 33.0), (82.0, 98.0)]
+
+
+def test_selection_with_own_thresholds_uses_each_videos_cluster(spark):
+    """Two videos of the same shape, one noisier: its candidates 100 s apart join under its own, wider limit only."""
+    steps = {1: [0] + [2] * 9 + [40] + [2] * 60 + [41] + [2] * 9, 2: [0] + [12] * 9 + [60] + [12] * 60 + [61] + [12] * 9}
+    frames = None
+    for v, values in steps.items():
+        f = frame_rows(spark, values).withColumn("video_id", F.lit(v).cast("long"))
+        frames = f if frames is None else frames.union(f)
+    none = spark.createDataFrame([], "video_id long, seq long, t long, start long, end long")
+    limits = {r.video_id: r.cluster for r in fr.calibrate(frames).collect()}
+    assert limits[1] != limits[2]
+    kept = select_frames(frames, none.select("video_id", "seq", "t"), none.select("video_id", "t"), none.select("video_id", "start", "end"), cut=None)["kept"].collect()
+    own = fr.neighbor_distance(frames)
+    for v, limit in limits.items():
+        cal = fr.calibrate(frames).filter(F.col("video_id") == v).first()
+        picked = fr.candidates(own.filter(F.col("video_id") == v), cal.cut, cal.settle).withColumn("protected", F.lit(False)).join(frames.select("video_id", "idx", "p", "d"), ["video_id", "idx"])
+        want = [(r.idx, r.cluster, r.recurs) for r in fr.leader_clusters(picked, limit).collect()]
+        assert sorted(want) == sorted((r.idx, r.cluster, r.recurs) for r in kept if r.video_id == v)
+
+
+def test_png_and_sheets(spark):
+    import struct
+    import zlib
+
+    rows = [(1, k, 2 * k, 2, [10 * k, 20, 30, 40]) for k in range(23)]
+    frames = spark.createDataFrame(rows, "video_id long, idx long, t long, height int, grey array<int>")
+    sheets = px.contact_sheets(fr.sheet_layout(frames), side=(2, 2), gap=1)
+    got = {r.sheet: r for r in sheets.collect()}
+    assert sorted(got) == [0, 1] and (got[0].height, len(got[0].grey) // got[0].height) == (16, 13) and got[1].height == 4
+    page = np.array(got[0].grey).reshape(16, 13)
+    assert page[0].tolist() == [255] * 13 and page[1:3, 1:3].tolist() == [[0, 20], [30, 40]] and page[4:6, 4:6].tolist() == [[50, 20], [30, 40]]
+    data = bytes(px.as_png(sheets).filter("sheet = 1").first().png)
+    assert data[:8] == b"\x89PNG\r\n\x1a\n" and struct.unpack(">II", data[16:24]) == (13, 4)
+    at = data.index(b"IDAT")
+    body = zlib.decompress(data[at + 4 : at + 4 + struct.unpack(">I", data[at - 4 : at])[0]])
+    assert [body[k * 14 + 1 : k * 14 + 14] for k in range(4)] == [bytes(got[1].grey[k * 13 : k * 13 + 13]) for k in range(4)]
+
+
+def test_motion_looks_at_the_first_pairs_and_names_the_ninth(spark):
+    still, rows = [[0] * 36], []
+    for k in range(8):
+        image = np.zeros((6, 6), int)
+        image[0:2, 4:6] = 100 * (k % 2)
+        rows.append((1, k, 6, image.ravel().tolist()))
+    rows += [(1, 8 + k, 6, [200 * (k % 2)] * 36) for k in range(4)] + [(2, 0, 6, still[0])]
+    got = px.motion(spark.createDataFrame(rows, "video_id long, idx long, height int, grey array<int>"), max_pairs=7).collect()
+    assert [(r.video_id, r.place, r.kind, round(r.mean, 6)) for r in got] == [(1, "top-R", "localized", round(4 / 36, 6))]
+
+
+def test_long_caption_blocks_are_whole(spark):
+    body = "\n".join(f"line {k}" for k in range(3000))
+    got = transcripts.parse_vtt(spark.createDataFrame([(1, f"00:00:01.000 --> 00:00:02.000\n{body}")], "video_id long, content string"))
+    assert got.count() == 3000
+
+
+def test_number_words_are_whole_words(spark):
+    assert set(one(spark, T.numbers, "One, stone; twenty-one _two (five) tenfold six")) == {"1", "20", "5", "6"}

@@ -13,9 +13,6 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the shared
 #: What the smallest scale must show, so that no comparison is empty.
 FLOOR = {"ad_spans": 5, "pointers": 5, "signal_validate": 4, "hallucination": 50, "correction_audit": 10, "candidates": 100, "quote_verbatim": 5, "numeric_provenance": 50, "voice_lint": 50, "chunk_plan": 2, "pointer_holes": 3}
 
-#: Their fixture, not the operator, pairs each video with five appendix lines.
-FIXTURE_LOOPS = {"transcript_prefix", "transcript_all", "correction_audit", "pointers_outside_ads"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -39,7 +36,7 @@ def rows(found):
 def test_rows(spark, con, name):
     df = timeline.QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().toString()
-    assert "CartesianProduct" not in plan and ("BroadcastNestedLoopJoin" not in plan or name in FIXTURE_LOOPS)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     cols = sorted(df.columns)
     got = rows(df.select(cols).collect())
     assert len(got) >= FLOOR.get(name, 1)

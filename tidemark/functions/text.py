@@ -75,8 +75,10 @@ def screen_terms(s: Column) -> Column:
 def numbers(s: Column) -> Column:
     """Numbers as text without commas and final full stops, and number words as numbers; distinct."""
     digits = F.transform(F.regexp_extract_all(s, F.lit(r"\d[\d,]*\.?\d*"), F.lit(0)), lambda x: F.rtrim(F.regexp_replace(x, ",", ""), F.lit(".")))
-    low = F.lower(s)
-    named = F.filter(F.array(*[F.when(low.rlike(rf"\b{w}\b"), d) for w, d in NUMBER_WORDS.items()]), lambda x: x.isNotNull())
+    # whole words: what stands between characters that no word has
+    words = F.array_intersect(F.split(F.lower(s), r"[^a-z0-9_]+"), F.array(*[F.lit(w) for w in NUMBER_WORDS]))
+    known = F.create_map(*[F.lit(x) for pair in NUMBER_WORDS.items() for x in pair])
+    named = F.transform(words, lambda w: F.element_at(known, w))
     return F.array_distinct(F.concat(digits, named))
 
 
@@ -85,9 +87,13 @@ def flat(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(s), r"\s+", " "), "[^a-z0-9 ]", "")
 
 
+# Timestamps, file names, URLs, section signs and inline code, in which no number counts.
+SCRUBBED = (r"\d\d:\d\d(:\d\d)?", r"[\w./-]*\.(png|jpg|md|json|mp4|txt|py|pdf)", r"https?://\S+", r"§\s*[\d.]+", r"`[^`]*`")
+
+
 def scrub(s: Column) -> Column:
     """Without timestamps, file names, URLs, section signs and inline code."""
-    for pattern in (r"\d\d:\d\d(:\d\d)?", r"[\w./-]*\.(png|jpg|md|json|mp4|txt|py|pdf)", r"https?://\S+", r"§\s*[\d.]+", r"`[^`]*`"):
+    for pattern in SCRUBBED:
         s = F.regexp_replace(s, pattern, " ")
     return s
 

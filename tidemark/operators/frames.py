@@ -5,8 +5,7 @@ Frames are rows (video_id, idx, t, h1..hn, ink): hashes as longs, compared with
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,10 +77,10 @@ def still_profile(frames: DataFrame, camera: DataFrame | None = None, interval:
 def probe_anchors(videos: DataFrame, anchors: int = 8, burst: int = 4, interval: float = 2.0, seed: int = 0) -> DataFrame:
     """(video_id, anchor, k, t) for videos (video_id, duration): one burst in each of `anchors` equal parts of 5 to 95 %.
 
-    The place in a part is a hash of video and part, so runs agree.
+    The place in a part is a hash of seed, video and part that any engine can compute, so runs agree.
     """
     a = videos.select("video_id", "duration", F.explode(F.sequence(F.lit(0), F.lit(anchors - 1))).alias("anchor"))
-    draw = F.pmod(F.xxhash64(F.lit(seed), "video_id", "anchor"), F.lit(1_000_000)) / 1e6
+    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "video_id", "anchor")), 1, 8), 16, 10).cast("long") / float(1 << 32)
     at = F.col("duration") * (0.05 + 0.9 * (F.col("anchor") + draw) / anchors)
     return a.withColumn("at", at).select("video_id", "anchor", F.explode(F.sequence(F.lit(0), F.lit(burst - 1))).alias("k"), "at", "duration").select("video_id", "anchor", "k", F.least(F.col("at") + F.col("k") * interval, F.greatest(F.lit(0.0), F.col("duration") - 0.5)).alias("t"))
 
@@ -123,71 +122,92 @@ def candidates(frames: DataFrame, cut: int = 60, settle: int = 4, min_plateau: f
     return ends.union(before)
 
 
-def _apart(a, b) -> int:
-    return sum(((x ^ y) & ((1 << 64) - 1)).bit_count() for x, y in zip(a, b))
+def _timeline(frames: DataFrame, *columns: str) -> DataFrame:
+    """(video_id, rows): each video's frames as one array, by idx."""
+    return frames.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("idx", *columns))).alias("rows"))
 
 
 def chained_dedup(frames: DataFrame, threshold: int = 22, hashes: tuple[str, ...] = HASH) -> DataFrame:
-    """(video_id, idx, t, d): frames at least `threshold` from the last one kept; the first has d 999. One group is one video."""
+    """(video_id, idx, t, d): frames at least `threshold` from the last one kept; the first has d 999. A fold over a video's frames."""
+    far = lambda r, last: bits_apart([r[h] for h in hashes], [last[h] for h in hashes]).cast("long")
+    kept = F.struct(F.lit(None).cast("long").alias("idx"), F.lit(None).cast("long").alias("t"), F.lit(None).cast("long").alias("d"))
+    first = F.struct(*[F.lit(None).cast("long").alias(h) for h in hashes], F.slice(F.array(kept), 1, 0).alias("kept"))
 
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, out, last = pdf.sort_values("idx"), [], None
-        for r in pdf.itertuples():
-            h = [getattr(r, x) for x in hashes]
-            d = 999 if last is None else _apart(h, last)
-            if d >= threshold:
-                out.append((r.video_id, r.idx, r.t, d))
-                last = h
-        return pd.DataFrame(out, columns=["video_id", "idx", "t", "d"])
+    def step(a: Column, r: Column) -> Column:
+        d = F.coalesce(far(r, a), F.lit(999).cast("long"))
+        one = F.struct(r["idx"].cast("long").alias("idx"), r["t"].cast("long").alias("t"), d.alias("d"))
+        return F.when(d >= threshold, F.struct(*[r[h].cast("long").alias(h) for h in hashes], F.concat(a["kept"], F.array(one)).alias("kept"))).otherwise(a)
+
+    return _timeline(frames, "t", *hashes).select("video_id", F.explode(F.aggregate("rows", first, step)["kept"]).alias("k")).select("video_id", "k.idx", "k.t", "k.d")
+
+
+class _Kept:
+    """Hashes kept so far, compared with a new one all at once."""
 
-    return frames.select("video_id", "idx", "t", *hashes).groupBy("video_id").applyInPandas(keep, "video_id long, idx long, t long, d long")
+    def __init__(self, most: int, width: int):
+        self.hashes, self.n = np.zeros((most, width), np.int64), 0
 
+    def add(self, h: np.ndarray) -> None:
+        self.hashes[self.n] = h
+        self.n += 1
 
-def leader_clusters(picked: DataFrame, cluster: int = 26, recur_span: int = 60, hashes: tuple[str, ...] = HASH) -> DataFrame:
+    def near(self, h: np.ndarray, most: int) -> np.ndarray:
+        """For each kept one: is it within `most`?"""
+        return np.bitwise_count((self.hashes[: self.n] ^ h).view(np.uint64)).sum(1) <= most
+
+
+def _matrix(pdf: pd.DataFrame, hashes: tuple[str, ...]) -> np.ndarray:
+    return np.stack([pdf[h].to_numpy(np.int64) for h in hashes], 1)
+
+
+def leader_clusters(picked: DataFrame, cluster: int | str = 26, recur_span: int = 60, hashes: tuple[str, ...] = HASH) -> DataFrame:
     """(video_id, idx, t, role, cluster, recurs, recurs_at, is_divider) of candidates (video_id, idx, t, role, protected, hashes).
 
-    A candidate joins the first cluster whose first member is within `cluster` and unprotected and whose last member is
-    at least `recur_span` seconds away; protected candidates stand alone. A cluster is shown by its first member.
+    A candidate joins the first cluster whose first member is within `cluster` (a number, or a column that holds each
+    video's) and unprotected and whose last member is at least `recur_span` seconds away; protected candidates stand
+    alone. A cluster is shown by its first member. Only the assignment is a fold; what clusters are is an aggregation.
     """
-
-    def lead(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(_r=(pdf.role != "final").astype(int)).sort_values(["t", "_r", "idx"])
-        groups: list[tuple[list[int], bool, list]] = []
-        for r in pdf.itertuples():
-            h = [getattr(r, x) for x in hashes]
-            for first, guarded, members in [] if r.protected else groups:
-                if not guarded and abs(r.t - members[-1].t) >= recur_span and _apart(h, first) <= cluster:
-                    members.append(r)
-                    break
-            else:
-                groups.append((h, bool(r.protected), [r]))
-        rows = []
-        for k, (_, _, members) in enumerate(groups):
-            times = [m.t for m in members]
-            m = members[0]
-            rows.append((m.video_id, m.idx, m.t, m.role, k, len(times), times, len(times) > 1 and max(times) - min(times) >= recur_span))
-        return pd.DataFrame(rows, columns=["video_id", "idx", "t", "role", "cluster", "recurs", "recurs_at", "is_divider"])
-
-    return picked.select("video_id", "idx", "t", "role", "protected", *hashes).groupBy("video_id").applyInPandas(lead, "video_id long, idx long, t long, role string, cluster long, recurs long, recurs_at array<long>, is_divider boolean")
+    limit = F.col(cluster) if isinstance(cluster, str) else F.lit(cluster)
+
+    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["t", "late", "idx"], ignore_index=True)
+        h, times, alone, most = _matrix(pdf, hashes), pdf.t.to_numpy(), pdf.protected.to_numpy(bool), int(pdf.near.iloc[0])
+        leaders, open_, seen, label = _Kept(len(pdf), len(hashes)), np.zeros(len(pdf), bool), np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
+        for k in range(len(pdf)):
+            n = leaders.n
+            fits = np.zeros(0, bool) if alone[k] else open_[:n] & (np.abs(times[k] - seen[:n]) >= recur_span) & leaders.near(h[k], most)
+            label[k] = fits.argmax() if fits.any() else n
+            if label[k] == n:
+                leaders.add(h[k])
+                open_[n] = not alone[k]
+            seen[label[k]] = times[k]
+        return pdf.assign(cluster=label, place=np.arange(len(pdf)))[["video_id", "idx", "t", "role", "cluster", "place"]]
+
+    late = F.when(F.col("role") == "final", 0).otherwise(1).alias("late")
+    rows = picked.select("video_id", "idx", "t", "role", "protected", late, limit.cast("long").alias("near"), *hashes)
+    dealt = rows.groupBy("video_id").applyInPandas(assign, "video_id long, idx long, t long, role string, cluster long, place long")
+    shown = dealt.groupBy("video_id", "cluster").agg(F.min_by(F.struct("idx", "t", "role"), "place").alias("r"), F.count("*").alias("recurs"), F.transform(F.array_sort(F.collect_list(F.struct("place", "t"))), lambda x: x["t"]).alias("recurs_at"))
+    spread = F.array_max("recurs_at") - F.array_min("recurs_at")
+    return shown.select("video_id", "r.*", "cluster", "recurs", "recurs_at", ((F.col("recurs") > 1) & (spread >= recur_span)).alias("is_divider"))
 
 
 def dedup_against_kept(picked: DataFrame, threshold: int = 18, hashes: tuple[str, ...] = HASH) -> DataFrame:
     """(video_id, t, reason, duplicate_of): candidates by time that no kept one is within `threshold` of.
 
-    Pointer and uncertain candidates stay and name the one they repeat.
+    Pointer and uncertain candidates stay and name the first kept one that they repeat.
     """
 
     def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, kept = [], []
-        for r in pdf.sort_values(["t", "reason"]).itertuples():
-            h = [getattr(r, x) for x in hashes]
-            twin = next((t for t, k in kept if _apart(h, k) <= threshold), None)
-            if twin is None or r.reason in ("pointer", "uncertain"):
-                out.append((r.video_id, r.t, r.reason, twin))
-                kept.append((r.t, h))
-        done = pd.DataFrame(out, columns=["video_id", "t", "reason", "duplicate_of"])
-        done["duplicate_of"] = done["duplicate_of"].astype("Int64")
-        return done
+        pdf = pdf.sort_values(["t", "reason"], ignore_index=True)
+        h, wanted, kept, rows, twins = _matrix(pdf, hashes), pdf.reason.isin(["pointer", "uncertain"]).to_numpy(), _Kept(len(pdf), len(hashes)), [], []
+        for k in range(len(pdf)):
+            same = kept.near(h[k], threshold)
+            if wanted[k] or not same.any():
+                twins.append(rows[same.argmax()] if same.any() else None)
+                rows.append(k)
+                kept.add(h[k])
+        out = pdf.loc[rows, ["video_id", "t", "reason"]]
+        return out.assign(duplicate_of=pd.array([None if x is None else pdf.t[x] for x in twins], "Int64"))
 
     return picked.select("video_id", "t", "reason", *hashes).groupBy("video_id").applyInPandas(keep, "video_id long, t long, reason string, duplicate_of long")
 
@@ -273,16 +293,14 @@ def image_tokens(width: Column, height: Column) -> Column:
 def ink_collapse(frames: DataFrame, drop: float = 0.5) -> DataFrame:
     """(video_id, idx, t): the last frame before a page is wiped: the next has less than `drop` times the most ink of its page so far.
 
-    A wipe starts a new page, so a page's most ink is that since the last wipe. One group is one video.
+    A wipe starts a new page, so a page's most ink is that since the last wipe. A fold over a video's frames.
     """
+    none = F.struct(F.lit(None).cast("long").alias("idx"), F.lit(None).cast("long").alias("t"))
+    first = F.struct(F.lit(float("-inf")).alias("most"), none.alias("before"), F.slice(F.array(none), 1, 0).alias("wiped"))
 
-    def wipes(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, most, before = [], -math.inf, None
-        for r in pdf.sort_values("idx").itertuples():
-            if before is not None and r.ink < drop * most:
-                out.append((before.video_id, before.idx, before.t))
-                most = r.ink
-            most, before = max(most, r.ink), r
-        return pd.DataFrame(out, columns=["video_id", "idx", "t"])
+    def step(a: Column, r: Column) -> Column:
+        here = F.struct(r["idx"].cast("long").alias("idx"), r["t"].cast("long").alias("t"))
+        wipe = a["before"]["idx"].isNotNull() & (r["ink"] < F.lit(drop) * a["most"])
+        return F.struct(F.when(wipe, r["ink"]).otherwise(F.greatest(a["most"], r["ink"])).alias("most"), here.alias("before"), F.when(wipe, F.concat(a["wiped"], F.array(a["before"]))).otherwise(a["wiped"]).alias("wiped"))
 
-    return frames.select("video_id", "idx", "t", "ink").groupBy("video_id").applyInPandas(wipes, "video_id long, idx long, t long")
+    return _timeline(frames, "t", "ink").select("video_id", F.explode(F.aggregate("rows", first, step)["wiped"]).alias("w")).select("video_id", "w.idx", "w.t")

@@ -30,9 +30,11 @@ BANNED = {
     "ink-colour description": r"\bink colou?rs?\b|\b(colou?r|shade) of the (ink|pen|marker)\b",
     "frame reference in prose": r"\bfollows the frame at\b|\bthe frame (shows|at)\b|\bin the frame\b",
 }
+# An inline timestamp, emphasis marks, the mark of a block that quotes others, a number that stands alone.
 STAMP = r"\(?\b\d{1,2}:\d{2}(?::\d{2})?\b\)?"
 EMPHASIS = r"(\*{1,3}|_{1,3}|`)"
 MARKER = r"(?i)\*\*(" + "|".join(EXTERNAL) + r")\b"
+ALONE = r"(?<![\w.])(\d[\d,]*\.?\d*)(?![\w])"
 
 
 def note_lines(files: DataFrame) -> DataFrame:
@@ -66,7 +68,7 @@ def numeric_provenance(notes: DataFrame, supported: DataFrame, visual: DataFrame
     lines = lines.withColumn("quote", free & F.startswith("s", F.lit(">"))).withColumn("block", F.sum(F.when(free & ~F.col("quote"), 1).otherwise(0)).over(_doc()))
     marked = F.max(F.when(F.col("quote") & F.col("s").rlike(MARKER), 1).otherwise(0)).over(Window.partitionBy("doc_id", "block").orderBy("line_no"))
     lines = lines.withColumn("exempt", F.col("quote") & (marked == 1)).filter(free & ~F.col("exempt"))
-    found = lines.select("doc_id", "line_no", F.explode(F.regexp_extract_all(T.scrub(F.col("raw")), F.lit(r"(?<![\w.])(\d[\d,]*\.?\d*)(?![\w])"), F.lit(1))).alias("raw_number"))
+    found = lines.select("doc_id", "line_no", F.explode(F.regexp_extract_all(T.scrub(F.col("raw")), F.lit(ALONE), F.lit(1))).alias("raw_number"))
     found = found.withColumn("number", F.rtrim(F.regexp_replace("raw_number", ",", ""), F.lit("."))).filter((F.length("number") >= 2) & (F.col("number") != "10"))
     texts = supported.select("doc_id", "text") if visual is None else supported.select("doc_id", "text").union(visual.select("doc_id", "text"))
     known = texts.select("doc_id", F.explode(T.numbers(F.col("text"))).alias("number")).distinct()
@@ -74,6 +76,7 @@ def numeric_provenance(notes: DataFrame, supported: DataFrame, visual: DataFrame
     return found.join(known, ["doc_id", "number"], "left_anti").select("doc_id", "line_no", "number", severity.alias("severity"))
 
 
+# Fixed value: a quotation that a line claims someone said.
 QUOTE = r'(?im)(?:^>|lecturer|states?|says?)[^\n]*?"([^"\n]{30,200})"'
 
 

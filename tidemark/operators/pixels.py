@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+#: The ninths of a picture, row by row.
+NINTHS = ("top-L", "top-C", "top-R", "mid-L", "mid-C", "mid-R", "bot-L", "bot-C", "bot-R")
 
 
 def grey(rgb: np.ndarray) -> np.ndarray:
@@ -77,27 +84,42 @@ def frame_features(frames: DataFrame, size: int = 16) -> DataFrame:
     return frames.select("video_id", "idx", "t", "height", "grey").mapInPandas(run, "video_id long, idx long, t long, phash array<long>, dhash array<long>, ink double")
 
 
+def picture_sharpness(frames: DataFrame) -> DataFrame:
+    """(video_id, idx, sharpness) of frames (video_id, idx, height, grey)."""
+
+    def run(batches):
+        for pdf in batches:
+            yield pdf[["video_id", "idx"]].assign(sharpness=[sharpness(x) for x in _images(pdf)])
+
+    return frames.select("video_id", "idx", "height", "grey").mapInPandas(run, "video_id long, idx long, sharpness double")
+
+
 def motion(frames: DataFrame, delta: int = 12, max_pairs: int = 120) -> DataFrame:
-    """(video_id, mean, p99, grid, kind, hot_share): how often pixels change between neighbouring frames.
+    """(video_id, mean, p99, grid, place, kind, hot_share): how often pixels change between neighbouring frames.
 
-    grid: the 3 x 3 means (rest rows and columns left out). kind: global, localized or content-only. At most `max_pairs`
-    evenly chosen pairs are looked at, which is the feature's own bound.
+    grid: the share of hot pixels in each ninth (rest rows and columns left out); place: the ninth with the most, the later
+    name of equals. kind: global, localized or content-only. The first `max_pairs` neighbouring pairs are looked at, which
+    is the feature's own bound, so only those frames reach a group.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("idx")
         images = _images(pdf)
-        at = range(0, len(images) - 1, max(1, -(-(len(images) - 1) // max_pairs)))
-        if not len(at):
-            return pd.DataFrame(columns=["video_id", "mean", "p99", "grid", "kind", "hot_share"])
-        m = np.mean([np.abs(images[k + 1].astype(float) - images[k]) > delta for k in at], axis=0)
+        names = ["video_id", "mean", "p99", "grid", "place", "kind", "hot_share"]
+        if len(images) < 2:
+            return pd.DataFrame(columns=names)
+        m = np.mean([np.abs(b.astype(float) - a) > delta for a, b in zip(images, images[1:])], axis=0)
         mean, p99 = float(m.mean()), float(np.percentile(m, 99))
         h, w = m.shape[0] // 3, m.shape[1] // 3
-        grid = [float(m[r * h : r * h + h, c * w : c * w + w].mean()) for r in range(3) for c in range(3)] if h and w else []
+        hot = m > max(0.12, 0.6 * p99)
+        grid = [float(hot[r * h : r * h + h, c * w : c * w + w].mean()) for r in range(3) for c in range(3)] if h and w else []
+        place = max(zip(grid, NINTHS))[1] if grid else None
         kind = "global" if mean > 0.12 else "localized" if p99 >= 0.15 and p99 >= 4 * mean else "content-only"
-        return pd.DataFrame([(pdf.video_id.iloc[0], mean, p99, grid, kind, float((m > max(0.12, 0.6 * p99)).mean()))], columns=["video_id", "mean", "p99", "grid", "kind", "hot_share"])
+        return pd.DataFrame([(pdf.video_id.iloc[0], mean, p99, grid, place, kind, float(hot.mean()))], columns=names)
 
-    return frames.select("video_id", "idx", "height", "grey").groupBy("video_id").applyInPandas(run, "video_id long, mean double, p99 double, grid array<double>, kind string, hot_share double")
+    first = F.row_number().over(Window.partitionBy("video_id").orderBy("idx"))
+    some = frames.select("video_id", "idx", "height", "grey").withColumn("nth", first).filter(F.col("nth") <= max_pairs + 1).drop("nth")
+    return some.groupBy("video_id").applyInPandas(run, "video_id long, mean double, p99 double, grid array<double>, place string, kind string, hot_share double")
 
 
 def deocclude(frames: DataFrame, at: DataFrame, window: int = 40, interval: float = 2.0, min_sharp: float = 0.6) -> DataFrame:
@@ -125,6 +147,47 @@ def deocclude(frames: DataFrame, at: DataFrame, window: int = 40, interval: floa
     return joined.select("video_id", "at", "idx", "height", "grey").groupBy("video_id", "at").applyInPandas(run, "video_id long, at double, frames long, ratio double, accepted boolean, height int, grey array<int>")
 
 
+def png(image: np.ndarray) -> bytes:
+    """A grey picture as a PNG file."""
+    h, w = image.shape
+
+    def chunk(kind: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    lines = np.zeros((h, w + 1), np.uint8)  # each line begins with its filter: none
+    lines[:, 1:] = np.clip(np.rint(image), 0, 255)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines.tobytes())) + chunk(b"IEND", b"")
+
+
+def as_png(pictures: DataFrame) -> DataFrame:
+    """pictures (..., height, grey) with png, the file's bytes, in place of the values."""
+    rest = [f for f in pictures.schema.fields if f.name not in ("height", "grey", "png")]
+
+    def run(batches):
+        for pdf in batches:
+            out = pdf[[f.name for f in rest]].copy()
+            out["png"] = [png(x) for x in _images(pdf)]
+            yield out
+
+    return pictures.mapInPandas(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + ["png binary"]))
+
+
+def contact_sheets(tiles: DataFrame, cols: int = 4, rows: int = 5, side: tuple[int, int] = (45, 80), gap: int = 2) -> DataFrame:
+    """(video_id, sheet, height, grey): the pictures of tiles (video_id, sheet, row, col, height, grey) on one page, each
+    shrunk to `side` with a border of `gap` white pixels. A page holds cols * rows tiles, so a group is bounded."""
+    h, w = side
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        deep = int(pdf.row.max()) + 1
+        page = np.full((deep * (h + gap) + gap, cols * (w + gap) + gap), 255.0)
+        for r, c, x in zip(pdf.row, pdf.col, _images(pdf)):
+            y, z = gap + r * (h + gap), gap + c * (w + gap)
+            page[y : y + h, z : z + w] = _resize(np.asarray(x, float), h, w)
+        return pd.DataFrame([(pdf.video_id.iloc[0], pdf.sheet.iloc[0], page.shape[0], np.rint(page).astype(int).ravel().tolist())], columns=["video_id", "sheet", "height", "grey"])
+
+    return tiles.select("video_id", "sheet", "row", "col", "height", "grey").groupBy("video_id", "sheet").applyInPandas(run, "video_id long, sheet long, height int, grey array<int>")
+
+
 def camera_static(frames: DataFrame, window: int = 21, min_ratio: float = 0.6) -> DataFrame:
     """(video_id, static): is the median of a video's middle frames nearly as sharp as they are?"""
 

@@ -51,6 +51,13 @@ def cleanup_guard(artifacts: DataFrame, notes: DataFrame, frames_dir: str = "fra
     return out.select("project", "frames", "referenced", ok.alias("may_delete_frames"), F.col("transcript").alias("may_delete_audio"))
 
 
+def regeneration_note(artifacts: DataFrame, removed: tuple[str, ...] = ("frames", "audio")) -> DataFrame:
+    """(project, note): what a cleanup took from a project and what would have to run again to have it back."""
+    gone = inventory(artifacts.filter(F.col("dir").isin(*removed)))
+    line = F.concat(F.lit("- "), "dir", F.lit(": "), F.col("files").cast("string"), F.lit(" files, "), "size")
+    return gone.groupBy("project").agg(F.concat(F.lit("Removed, can be made again from the recording:\n"), F.array_join(F.array_sort(F.collect_list(line)), "\n")).alias("note"))
+
+
 def status_report(candidates: DataFrame, deduped: DataFrame, used: DataFrame) -> DataFrame:
     """(video_id, candidates, deduped, used, budget): frame counts per video; budget warns outside 10 to 40 used frames."""
     n = lambda df, name: df.groupBy("video_id").agg(F.count("*").alias(name))

@@ -44,17 +44,19 @@ class Dialect:
             "conv_lines": self.lines("conversations", "conv_id, turn"),
             "numbered": "SELECT CAST(floor(conv_id / 10) AS BIGINT) AS video_id, conv_id, CAST(row_number() OVER (PARTITION BY floor(conv_id / 10) ORDER BY conv_id, turn, line_no) - 1 AS BIGINT) AS seq, line FROM conv_lines",
             "body": """SELECT video_id, seq, seq * 7 + conv_id % 3 AS t, concat(line, CASE seq % 11 WHEN 0 THEN ' please like and subscribe' WHEN 2 THEN ' use the promo code'
-                WHEN 4 THEN ' as you can see here' WHEN 5 THEN ' every subscribed client port' WHEN 7 THEN ' moving on' WHEN 9 THEN ' the next part is 1,250 long' ELSE '' END) AS text FROM numbered""",
+                WHEN 4 THEN ' as you can see here' WHEN 5 THEN ' every subscribed client port' WHEN 7 THEN ' moving on' WHEN 9 THEN ' the next part is 1,250 long' WHEN 10 THEN ' [Unclear term: possibly "kernel"]' ELSE '' END) AS text FROM numbered""",
             "other": "SELECT video_id, seq, t, CASE WHEN seq % 5 = 0 THEN concat('zebra ', text) ELSE text END AS text FROM body",
             "raw_lines": f"""SELECT video_id, seq AS pos, concat('[', {self.two("floor(t / 3600)")}, ':', {self.two("floor(t % 3600 / 60)")}, ':', {self.two("t % 60")}, '] ', text) AS line FROM body
-                UNION ALL SELECT video_id, max(seq) + 1 + k AS pos, concat('[00:00:', {self.two("k * 10")}, '] quoted again') AS line FROM body CROSS JOIN (VALUES (0), (1), (2), (3), (4)) v(k) GROUP BY video_id, k""",
-            "clean_lines": "SELECT video_id, pos, CASE WHEN pos % 9 = 0 THEN concat(line, ' added') WHEN pos % 4 = 0 THEN replace(line, 'see', 'sea') ELSE line END AS line FROM raw_lines",
+                UNION ALL SELECT video_id, last_seq + 1 + k AS pos, concat('[00:00:', {self.two("k * 10")}, '] quoted again') AS line FROM ({self.counted("(SELECT video_id, max(seq) AS last_seq, CAST(5 AS INT) AS five FROM body GROUP BY video_id) last", "five")}) again""",
+            "clean_lines": "SELECT video_id, pos, CASE WHEN pos % 9 = 0 THEN concat(line, ' added') WHEN pos % 4 = 0 THEN replace(replace(line, 'see', 'sea'), 'moving', 'mooving') ELSE line END AS line FROM raw_lines",
             "cues": f"""SELECT video_id, seq, concat({self.two("floor(t / 3600)")}, ':', {self.two("floor(t % 3600 / 60)")}, ':', {self.two("t % 60")}) AS hms,
                 coalesce(lag(text) OVER (PARTITION BY video_id ORDER BY seq), '') AS prev, text FROM body WHERE text <> ''""",
             "spans": """SELECT video_id, span_no, t AS start, CASE span_no % 4 WHEN 1 THEN t - 10 WHEN 2 THEN t + 400 WHEN 3 THEN t + 2000 ELSE t + 30 END AS stop
-                FROM (SELECT video_id, t, CAST(floor(seq / 37) AS BIGINT) AS span_no FROM body WHERE seq % 37 = 5) s""",
+                FROM (SELECT video_id, min(t) AS t, CAST(floor(seq / 37) AS BIGINT) AS span_no FROM body GROUP BY video_id, floor(seq / 37)) s""",
             "ends": "SELECT video_id, max(t) AS last_t FROM body GROUP BY video_id",
+            "rules": "SELECT CASE WHEN video_id % 2 = 0 THEN 'see' ELSE concat('v', video_id) END AS before, CASE WHEN video_id % 2 = 0 THEN 'sea' ELSE 'w' END AS after FROM ends",
             "doc_lines": self.lines("documents", "doc_id, text"),
+            "mixed_lines": "SELECT video_id, pos, line FROM raw_lines UNION ALL SELECT doc_id, line_no, line FROM doc_lines",
             "segments": "SELECT doc_id AS video_id, line_no AS seq, CAST(line_no * 3 AS DOUBLE) AS start, CAST(line_no * 3 + doc_id % 10 AS DOUBLE) AS stop, line AS text FROM doc_lines",
             "vectors": f"SELECT vec_id, CAST(floor(vec_id / 50) AS BIGINT) AS video_id, {self.hash('$0 > 0')} AS p, {self.hash('$1 > $0')} AS d FROM {t('embeddings')}",
             "held": self.counted("(SELECT *, CASE WHEN vec_id % 12 = 0 THEN 6 ELSE 1 + vec_id % 6 END AS hold FROM vectors) v", "hold"),
@@ -71,8 +73,11 @@ class Dialect:
                 WHEN 11 THEN '12:34 to 13:00' WHEN 12 THEN '[x](frames/a.png) and [y](missing.md#top) 3,500 items' ELSE concat('The lecturer says "', left(line, 60), '" 250 units') END AS raw FROM doc_lines""",
             "speech": f"SELECT doc_id, concat(CASE WHEN doc_id % 2 = 0 THEN '250 units, forty things. ' ELSE '3,500 items. ' END, CASE WHEN doc_id % 4 < 2 THEN text ELSE '' END) AS text FROM {t('documents')}",
             "artifacts": f"SELECT l_orderkey % 100 AS project, CASE l_returnflag WHEN 'A' THEN 'frames' WHEN 'N' THEN 'transcript' ELSE 'audio' END AS dir, concat(l_orderkey, '-', l_linenumber, '.png') AS file, CAST(floor(l_extendedprice) AS BIGINT) AS bytes FROM {t('lineitem')}",
-            "seed": f"SELECT concat('c', s_suppkey) AS channel_id, s_name AS name, s_nationkey AS tier, 'x' AS params, CAST(3 AS BIGINT) AS videos_seen FROM {t('supplier')}",
-            "user": f"SELECT concat('c', c_custkey) AS channel_id, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_nationkey END AS tier, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE c_mktsegment END AS params, CAST(1 AS BIGINT) AS videos_seen FROM {t('customer')} WHERE c_custkey % 2 = 0 OR c_custkey % 5 = 1",
+            "seed": f"SELECT concat('c', s_suppkey - 3) AS channel_id, s_name AS name, s_nationkey AS tier, 'x' AS params, CAST(3 AS BIGINT) AS videos_seen FROM {t('supplier')}",
+            "user": f"SELECT concat('c', c_custkey) AS channel_id, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_nationkey END AS tier, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE c_mktsegment END AS params, CAST(1 AS BIGINT) AS videos_seen FROM {t('customer')}",
+            "paths": """SELECT video_id, idx, concat('v', video_id, '/f', lpad(concat('', idx + 1), 6, '0'), '.jpg') AS path, concat(lpad(concat('', CAST(floor(t / 3600) AS BIGINT)), 2, '0'), '-', lpad(concat('', CAST(floor(t % 3600 / 60) AS BIGINT)), 2, '0'), '-', lpad(concat('', t % 60), 2, '0'), '-Slide ', idx, '!.png') AS name, t FROM frames""",
+            "pictures": f"SELECT CAST(floor(vec_id / 50) AS BIGINT) AS video_id, vec_id - CAST(floor(vec_id / 50) AS BIGINT) * 50 AS idx, embedding FROM {t('embeddings')}",
+            "regions": "SELECT video_id, frame, line_no AS seq, line AS text, CAST(length(line) % 11 / 10.0 AS DOUBLE) AS conf FROM (SELECT doc_id % 10 AS video_id, doc_id AS frame, line_no, line FROM doc_lines) r",
         }
 
     def needed(self, text: str) -> list[str]:

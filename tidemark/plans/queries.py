@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
@@ -13,31 +10,11 @@ from tidemark.operators import intervals as iv
 from tidemark.operators import notes as nt
 from tidemark.operators import speech as sp
 from tidemark.operators import store as st
-from tidemark.plans.fixtures import duckdb, fixture
+from tidemark.plans.registry import QUERIES, oracles, query
 from tidemark.plans.select import select_frames
 from tidemark.sources import signals, transcripts
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(lambda name: fixture(spark, sf_dir, name))
-
-        run.__name__, run.__doc__ = f.__name__, f.__doc__
-        QUERIES[f.__name__] = run
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def oracles() -> dict[str, str]:
-    return {n: duckdb(s) for n, s in _SQL.items()}
-
+__all__ = ["QUERIES", "oracles"]
 
 _PARSED = r"""parsed AS (SELECT video_id, pos, CAST(regexp_extract(line, '^\[(\d\d):(\d\d):(\d\d)\]\s*(.*)', 1) AS BIGINT) * 3600 + CAST(regexp_extract(line, '^\[(\d\d):(\d\d):(\d\d)\]\s*(.*)', 2) AS BIGINT) * 60
   + CAST(regexp_extract(line, '^\[(\d\d):(\d\d):(\d\d)\]\s*(.*)', 3) AS BIGINT) AS t, trim(regexp_extract(line, '^\[(\d\d):(\d\d):(\d\d)\]\s*(.*)', 4)) AS text FROM raw_lines WHERE regexp_matches(line, '^\[(\d\d):(\d\d):(\d\d)\]'))"""
@@ -214,13 +191,16 @@ def segments(x):
     return fr.segments(fr.neighbor_distance(x("frames")), cut=50).select("video_id", "idx", "seg")
 
 
-@query(f"""WITH {_NB}, s AS (SELECT *, sum(CASE WHEN nb >= 50 THEN 1 ELSE 0 END) OVER (PARTITION BY video_id ORDER BY idx) AS seg FROM nbs),
-b AS (SELECT *, min(idx) OVER (PARTITION BY video_id, seg) AS s0, max(ink) OVER (PARTITION BY video_id, seg) AS most FROM s), f AS (SELECT video_id, seg, max(idx) AS j FROM b WHERE ink >= 0.5 * most GROUP BY ALL),
-fin AS (SELECT b.* FROM b JOIN f ON b.video_id = f.video_id AND b.seg = f.seg AND b.idx = f.j),
-i AS (SELECT b.*, f.j, sum(CASE WHEN b.idx > b.s0 AND nb > 4 THEN 1 ELSE 0 END) OVER (PARTITION BY b.video_id, b.seg ORDER BY b.idx) AS run FROM b JOIN f ON b.video_id = f.video_id AND b.seg = f.seg WHERE b.idx <= f.j),
-r AS (SELECT video_id, seg, run, count(*) AS n, max(idx) AS e, max(run) OVER (PARTITION BY video_id, seg) AS last FROM i GROUP BY video_id, seg, run)
-SELECT video_id, e AS idx, e * 2 AS t, 'final' AS role, n * 2.0 AS plateau_s FROM r WHERE run = last
-UNION ALL SELECT r.video_id, e, e * 2, 'state-before', n * 2.0 FROM r JOIN fin ON fin.video_id = r.video_id AND fin.seg = r.seg JOIN frames c ON c.video_id = r.video_id AND c.idx = r.e WHERE run < last AND n >= 2 AND fin.ink < c.ink * (1 - 0.02)""")
+_CANDIDATES = """s AS (SELECT *, sum(CASE WHEN nb >= 50 THEN 1 ELSE 0 END) OVER (PARTITION BY video_id ORDER BY idx) AS seg FROM nbs),
+b AS (SELECT *, min(idx) OVER (PARTITION BY video_id, seg) AS s0, max(ink) OVER (PARTITION BY video_id, seg) AS most FROM s), f0 AS (SELECT video_id, seg, max(idx) AS j FROM b WHERE ink >= 0.5 * most GROUP BY ALL),
+fin AS (SELECT b.* FROM b JOIN f0 ON b.video_id = f0.video_id AND b.seg = f0.seg AND b.idx = f0.j),
+i AS (SELECT b.*, f0.j, sum(CASE WHEN b.idx > b.s0 AND nb > 4 THEN 1 ELSE 0 END) OVER (PARTITION BY b.video_id, b.seg ORDER BY b.idx) AS run FROM b JOIN f0 ON b.video_id = f0.video_id AND b.seg = f0.seg WHERE b.idx <= f0.j),
+q AS (SELECT video_id, seg, run, count(*) AS n, max(idx) AS e, max(run) OVER (PARTITION BY video_id, seg) AS last FROM i GROUP BY video_id, seg, run),
+picked AS (SELECT video_id, e AS idx, e * 2 AS t, 'final' AS role, n * 2.0 AS plateau_s FROM q WHERE run = last
+UNION ALL SELECT q.video_id, e, e * 2, 'state-before', n * 2.0 FROM q JOIN fin ON fin.video_id = q.video_id AND fin.seg = q.seg JOIN frames c ON c.video_id = q.video_id AND c.idx = q.e WHERE run < last AND n >= {need} AND fin.ink < c.ink * (1 - 0.02))"""
+
+
+@query(f"WITH {_NB}, {_CANDIDATES.format(need=2)} SELECT video_id, idx, t, role, plateau_s FROM picked")
 def candidates(x):
     return fr.candidates(fr.neighbor_distance(x("frames")), cut=50, min_plateau=4)
 
@@ -234,14 +214,38 @@ def chained_dedup(x):
     return fr.chained_dedup(x("frames"))
 
 
-@query()
+def _clusters(near):
+    """Leader clusters of candidates: one row per (video_id, n), n counting the candidates, `cl` the clusters so far."""
+    return f"""o AS (SELECT k.video_id, k.idx, k.t, k.role, f.p, f.d, EXISTS (SELECT 1 FROM marks m WHERE m.video_id = k.video_id AND abs(m.t - k.t) <= 12) AS guard,
+  row_number() OVER (PARTITION BY k.video_id ORDER BY k.t, CASE WHEN k.role = 'final' THEN 0 ELSE 1 END, k.idx) AS n FROM picked k JOIN frames f ON f.video_id = k.video_id AND f.idx = k.idx),
+r AS (SELECT video_id, n, CAST(0 AS BIGINT) AS c, [{{'p': p, 'd': d, 'guard': guard, 'last': t}}] AS cl FROM o WHERE n = 1
+  UNION ALL SELECT video_id, n, coalesce(hit - 1, len(cl)), CASE WHEN hit IS NULL THEN list_append(cl, {{'p': p, 'd': d, 'guard': guard, 'last': t}})
+    ELSE list_concat(list_append(cl[1:hit - 1], {{'p': cl[hit].p, 'd': cl[hit].d, 'guard': false, 'last': t}}), cl[hit + 1:]) END
+  FROM (SELECT o.*, r.cl, CASE WHEN NOT o.guard THEN list_min(list_filter(range(1, len(r.cl) + 1), lambda i: NOT r.cl[i].guard AND abs(o.t - r.cl[i].last) >= 60 AND bit_count(xor(r.cl[i].p, o.p)) + bit_count(xor(r.cl[i].d, o.d)) <= {near})) END AS hit FROM r JOIN o ON o.video_id = r.video_id AND o.n = r.n + 1) s),
+g AS (SELECT o.video_id, min_by(o.idx, o.n) AS idx, min_by(o.t, o.n) AS t, min_by(o.role, o.n) AS role, r.c AS cluster, count(*) AS recurs, list(o.t ORDER BY o.n) AS recurs_at, count(*) > 1 AND max(o.t) - min(o.t) >= 60 AS is_divider FROM r JOIN o USING (video_id, n) GROUP BY o.video_id, r.c)"""
+
+
+_POINTERS = f"SELECT video_id, seq, t FROM body WHERE regexp_matches(text, '{_regex(sp.POINTER)}')"
+_HINTS = f"SELECT video_id, t, left(text, 60) AS title FROM body WHERE regexp_matches(text, '{_regex(sp.SECTION)}')"
+
+
+def _picked(plateau):
+    return _CANDIDATES.format(need=max(2, round(plateau / 2)))
+
+
+@query(f"RECURSIVE WITH {_NB}, {_picked(6)}, marks AS ({_POINTERS}), {_clusters(26)} SELECT video_id, idx, t, role, cluster, recurs, array_to_string(recurs_at, ' ') AS recurs_at, is_divider FROM g")
 def leader_cluster(x):
     picked = fr.candidates(fr.neighbor_distance(x("frames")), cut=50)
-    flagged = iv.flag_near(picked, x("body").filter("seq % 11 = 4").select("video_id", F.col("t").alias("s")), "protected")
-    return fr.leader_clusters(flagged.join(x("frames").select("video_id", "idx", "p", "d"), ["video_id", "idx"]))
+    flagged = iv.flag_near(picked, sp.pointers(x("body")).select("video_id", F.col("t").alias("s")), "protected")
+    found = fr.leader_clusters(flagged.join(x("frames").select("video_id", "idx", "p", "d"), ["video_id", "idx"]))
+    return found.withColumn("recurs_at", F.array_join(F.col("recurs_at").cast("array<string>"), " "))
 
 
-@query()
+@query("""RECURSIVE WITH o AS (SELECT video_id, t, p, d, CASE WHEN idx % 7 = 0 THEN 'pointer' ELSE 'sweep' END AS reason, row_number() OVER (PARTITION BY video_id ORDER BY t) AS n FROM frames),
+r AS (SELECT video_id, n, t, reason, true AS kept, CAST(NULL AS BIGINT) AS twin, [{'p': p, 'd': d, 't': t}] AS ks FROM o WHERE n = 1
+  UNION ALL SELECT video_id, n, t, reason, twin IS NULL OR reason = 'pointer', twin, CASE WHEN twin IS NULL OR reason = 'pointer' THEN list_append(ks, {'p': p, 'd': d, 't': t}) ELSE ks END
+  FROM (SELECT o.*, r.ks, list_filter(r.ks, lambda k: bit_count(xor(k.p, o.p)) + bit_count(xor(k.d, o.d)) <= 18)[1].t AS twin FROM r JOIN o ON o.video_id = r.video_id AND o.n = r.n + 1) s)
+SELECT video_id, t, reason, twin AS duplicate_of FROM r WHERE kept""")
 def dedup_vs_all(x):
     reason = F.when(F.col("idx") % 7 == 0, "pointer").otherwise("sweep")
     return fr.dedup_against_kept(x("frames").withColumn("reason", reason))
@@ -255,47 +259,46 @@ def exclude_spans(x):
     return iv.exclude(x("frames").select("video_id", "idx", "t"), x("spans").withColumnRenamed("stop", "end"))
 
 
-@query("SELECT video_id, idx, EXISTS (SELECT 1 FROM body b WHERE b.video_id = f.video_id AND b.seq % 11 = 4 AND abs(b.t - f.t) <= 12) AS protected FROM frames f")
+@query(f"WITH marks AS ({_POINTERS}) SELECT video_id, idx, EXISTS (SELECT 1 FROM marks b WHERE b.video_id = f.video_id AND abs(b.t - f.t) <= 12) AS protected FROM frames f")
 def protected_frames(x):
-    return iv.flag_near(x("frames"), x("body").filter("seq % 11 = 4").select("video_id", F.col("t").alias("s")), "protected").select("video_id", "idx", "protected")
+    return iv.flag_near(x("frames"), sp.pointers(x("body")).select("video_id", F.col("t").alias("s")), "protected").select("video_id", "idx", "protected")
 
 
-@query(f"""SELECT video_id, seq, t FROM body b WHERE seq % 11 = 4 AND NOT EXISTS (SELECT 1 FROM frames f WHERE f.video_id = b.video_id AND f.idx % 20 = 0 AND abs(f.t - b.t) <= 12)
+@query(f"""WITH marks AS ({_POINTERS}) SELECT video_id, seq, t FROM marks b WHERE NOT EXISTS (SELECT 1 FROM frames f WHERE f.video_id = b.video_id AND abs(f.t - b.t) <= 12)
 AND NOT EXISTS (SELECT 1 FROM {_OK} s WHERE s.video_id = b.video_id AND b.t BETWEEN s.start AND s.stop)""")
 def pointer_holes(x):
-    return iv.pointer_holes(x("body").filter("seq % 11 = 4").select("video_id", "seq", "t"), x("frames").filter("idx % 20 = 0"), x("spans").withColumnRenamed("stop", "end"))
+    return iv.pointer_holes(sp.pointers(x("body")).select("video_id", "seq", "t"), x("frames"), x("spans").withColumnRenamed("stop", "end"))
 
 
-@query("""WITH tr AS (SELECT video_id, concat('f', idx) AS name, t, CASE WHEN idx % 2 = 0 THEN xor(p, CAST(15 AS BIGINT)) ELSE xor(p, CAST(1048575 AS BIGINT)) END AS p, d FROM frames WHERE idx % 9 = 0), c AS (SELECT * FROM frames WHERE idx % 3 = 0),
+@query("""WITH tr AS (SELECT video_id, concat('f', idx) AS name, t, CASE WHEN idx % 2 = 0 THEN xor(p, CAST(15 AS BIGINT)) ELSE xor(p, CAST(1048575 AS BIGINT)) END AS p, d FROM frames), c AS (SELECT * FROM frames),
 j AS (SELECT tr.video_id, tr.name, tr.t, c.t AS c_t, bit_count(xor(tr.p, c.p)) + bit_count(xor(tr.d, c.d)) AS dist, c.idx AS i FROM tr LEFT JOIN c ON c.video_id = tr.video_id)
 SELECT video_id, name, t, CAST(dist AS BIGINT) AS dist, c_t AS nearest_t, coalesce(dist <= 12, false) AS covered FROM (SELECT *, row_number() OVER (PARTITION BY video_id, name, t ORDER BY dist, i) AS n FROM j) x WHERE n = 1""")
 def nearest_coverage(x):
     f = x("frames")
     flip = F.col("p").bitwiseXOR(F.when(F.col("idx") % 2 == 0, F.lit(15)).otherwise(F.lit(1048575)).cast("long"))
-    truth = f.filter("idx % 9 = 0").select("video_id", F.concat(F.lit("f"), "idx").alias("name"), "t", flip.alias("p"), "d")
-    return fr.coverage(truth, f.filter("idx % 3 = 0"))
+    truth = f.select("video_id", F.concat(F.lit("f"), "idx").alias("name"), "t", flip.alias("p"), "d")
+    return fr.coverage(truth, f)
 
 
-@query("""RECURSIVE WITH c AS (SELECT video_id, t, left(text, 60) AS title FROM body WHERE seq % 11 IN (7, 9)), v AS (SELECT video_id, CAST(last_t AS DOUBLE) AS d FROM ends),
+@query(f"""RECURSIVE WITH c AS ({_HINTS}), v AS (SELECT video_id, CAST(last_t AS DOUBLE) AS d FROM ends),
 r AS (SELECT video_id, d, 0 AS k, CAST(0 AS DOUBLE) AS start, CAST(0 AS DOUBLE) AS stop, CAST('' AS VARCHAR) AS title, false AS snapped FROM v UNION ALL
   SELECT video_id, d, k + 1, stop, CASE WHEN d - cut < 180 THEN d ELSE cut END, coalesce(h, ''), h IS NOT NULL FROM (
     SELECT r.*, coalesce((SELECT CAST(c.t AS DOUBLE) FROM c WHERE c.video_id = r.video_id AND c.t BETWEEN r.stop + 180 AND r.stop + 480 ORDER BY abs(c.t - r.stop - 300), c.t, c.title LIMIT 1), least(r.stop + 300, d)) AS cut,
       (SELECT c.title FROM c WHERE c.video_id = r.video_id AND c.t BETWEEN r.stop + 180 AND r.stop + 480 ORDER BY abs(c.t - r.stop - 300), c.t, c.title LIMIT 1) AS h FROM r WHERE r.stop < r.d - 90) x)
 SELECT video_id, CAST(k AS BIGINT) AS chunk, round_even(start, 1) AS start, round_even(stop, 1) AS "end", round_even((stop - start) / 60, 1) AS minutes, title, snapped FROM r WHERE k > 0""")
 def chunk_plan(x):
-    hints = x("body").filter("seq % 11 IN (7, 9)").select("video_id", "t", F.substring("text", 1, 60).alias("title"))
-    return fr.plan_chunks(x("ends").select("video_id", F.col("last_t").cast("double").alias("duration")), hints, target=5, least=3, most=8)
+    return fr.plan_chunks(x("ends").select("video_id", F.col("last_t").cast("double").alias("duration")), sp.section_hints(x("body")), target=5, least=3, most=8)
 
 
-@query("""WITH v AS (SELECT video_id, CAST(last_t AS DOUBLE) AS d FROM ends),
-e AS (SELECT video_id, t + 4.0 AS t, 'pointer' AS reason, 0 AS k FROM body WHERE seq % 11 = 4 UNION ALL SELECT video_id, t + 4.0, 'section', 1 FROM body WHERE seq % 11 = 7 UNION ALL SELECT video_id, t, 'uncertain', 2 FROM body WHERE seq % 50 = 3
+@query(f"""WITH v AS (SELECT video_id, CAST(last_t AS DOUBLE) AS d FROM ends),
+e AS (SELECT video_id, t + 4.0 AS t, 'pointer' AS reason, 0 AS k FROM ({_POINTERS}) p UNION ALL SELECT video_id, t + 4.0, 'section', 1 FROM ({_HINTS}) h UNION ALL SELECT video_id, t, 'uncertain', 2 FROM body WHERE contains(text, '[Unclear term: possibly "')
   UNION ALL SELECT video_id, i * 30.0, 'sweep', 3 FROM (SELECT video_id, d, unnest(range(1, greatest(1, CAST(floor(d / 30) AS BIGINT)) + 1)) AS i FROM v) q WHERE i * 30.0 < d),
 c AS (SELECT video_id, round_even(CAST(greatest(0.0, least(t, d - 0.5)) AS DOUBLE), 1) AS t, reason, k FROM e JOIN v USING (video_id)),
 o AS (SELECT video_id, t, reason FROM (SELECT *, row_number() OVER (PARTITION BY video_id, t ORDER BY k) AS n FROM c) z WHERE n = 1)
 SELECT video_id, t, reason FROM o WHERE NOT EXISTS (SELECT 1 FROM spans s WHERE s.video_id = o.video_id AND o.t BETWEEN s.start AND s.stop)""")
 def sweep_timestamps(x):
     b = x("body")
-    return fr.sample_times(b.filter("seq % 11 = 4"), b.filter("seq % 11 = 7"), b.filter("seq % 50 = 3"), x("ends").select("video_id", F.col("last_t").cast("double").alias("duration")), x("spans").withColumnRenamed("stop", "end"))
+    return fr.sample_times(sp.pointers(b), sp.section_hints(b), sp.uncertain_terms(b), x("ends").select("video_id", F.col("last_t").cast("double").alias("duration")), x("spans").withColumnRenamed("stop", "end"))
 
 
 @query("""SELECT video_id, idx, CAST(floor(n / 20) AS BIGINT) AS sheet, CAST(floor(n % 20 / 4) AS BIGINT) AS row, CAST(n % 4 AS BIGINT) AS col FROM (SELECT video_id, idx, row_number() OVER (PARTITION BY video_id ORDER BY t, idx) - 1 AS n FROM frames) x""")
@@ -307,7 +310,7 @@ _MARK = nt.MARKER.replace("'", "''")
 _NUMBER = "list_transform(regexp_extract_all(text, '\\d[\\d,]*\\.?\\d*'), lambda x: rtrim(replace(x, ',', ''), '.'))"
 _NAMED = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches(lower(text), '\\b{w}\\b') THEN '{d}' END" for w, d in T.NUMBER_WORDS.items()) + "], lambda x: x IS NOT NULL)"
 _SCRUB = "raw"
-for _p in (r"\d\d:\d\d(:\d\d)?", r"[\w./-]*\.(png|jpg|md|json|mp4|txt|py|pdf)", r"https?://\S+", r"§\s*[\d.]+", r"`[^`]*`"):
+for _p in T.SCRUBBED:
     _SCRUB = f"regexp_replace({_SCRUB}, '{_p}', ' ', 'g')"
 
 
@@ -346,7 +349,7 @@ _LINKS = r"l AS (SELECT doc_id, line_no, trim(unnest(regexp_extract_all(raw, '\]
 
 @query(f"WITH {_LINKS} SELECT doc_id, line_no, target FROM l WHERE NOT (target = 'frames/a.png' AND doc_id % 2 = 0) AND target NOT LIKE 'http%'")
 def broken_links(x):
-    files = x("notes").filter("doc_id % 2 = 0").select("doc_id", F.lit("frames/a.png").alias("target"))
+    files = x("notes").select("doc_id", F.when(F.col("doc_id") % 2 == 0, "frames/a.png").otherwise("frames/b.png").alias("target"))
     return nt.broken_links(x("notes"), files)
 
 
@@ -398,28 +401,29 @@ def artifact_inventory(x):
     return st.inventory(x("artifacts")).drop("size")
 
 
-@query("""WITH n AS (SELECT project, min(file) AS file FROM artifacts WHERE project % 3 > 0 GROUP BY project),
+@query("""WITH n AS (SELECT project + 5 AS project, CASE WHEN project % 3 = 0 THEN 'nothing' ELSE concat((project + 5), '-see ', min(file)) END AS file FROM artifacts GROUP BY project),
 g AS (SELECT project, count(*) FILTER (dir = 'frames' AND file LIKE '%.png') AS frames, bool_or(dir = 'transcript') AS transcript FROM artifacts GROUP BY project),
-r AS (SELECT a.project, count(DISTINCT a.file) AS referenced FROM artifacts a JOIN n ON n.project = a.project AND contains(concat('see ', n.file), a.file) WHERE a.dir = 'frames' AND a.file LIKE '%.png' GROUP BY a.project)
+r AS (SELECT a.project, count(DISTINCT a.file) AS referenced FROM artifacts a JOIN n ON n.project = a.project AND contains(n.file, a.file) WHERE a.dir = 'frames' AND a.file LIKE '%.png' GROUP BY a.project)
 SELECT project, frames, coalesce(referenced, 0) AS referenced, frames > 0 AND (n.project IS NULL OR coalesce(referenced, 0) > 0) AS may_delete_frames, transcript AS may_delete_audio FROM g LEFT JOIN r USING (project) LEFT JOIN n USING (project)""")
 def cleanup_guard(x):
-    notes = x("artifacts").filter("project % 3 > 0").groupBy("project").agg(F.concat(F.lit("see "), F.min("file")).alias("text"))
+    text = F.when(F.col("project") % 3 == 0, F.lit("nothing")).otherwise(F.concat((F.col("project") + 5).cast("string"), F.lit("-see "), F.min("file")))
+    notes = x("artifacts").groupBy("project").agg(text.alias("text")).withColumn("project", F.col("project") + 5)
     return st.cleanup_guard(x("artifacts"), notes)
 
 
-@query("""WITH a AS (SELECT video_id, frame, 0 AS seq, unnest(string_split(text, chr(10))) AS text, unnest(range(len(string_split(text, chr(10))))) AS s FROM screen), f AS (SELECT video_id, frame, s AS seq, text FROM a WHERE s % 2 = 0), g AS (SELECT video_id, frame, s AS seq, text FROM a WHERE s % 3 = 0),
+@query("""WITH a AS (SELECT video_id, frame, 0 AS seq, unnest(string_split(text, chr(10))) AS text, unnest(range(len(string_split(text, chr(10))))) AS s FROM screen), f AS (SELECT video_id, frame, s AS seq, text FROM a), g AS (SELECT video_id, frame, s AS seq, CASE WHEN s % 3 = 0 THEN concat('inv ', text) ELSE concat('  ', text) END AS text FROM a),
 h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video_id, frame, lower(trim(text)) ORDER BY seq) AS n FROM g) q WHERE n = 1)
 SELECT video_id, frame, seq, text, 1 AS pass FROM f UNION ALL SELECT video_id, frame, seq, text, 2 FROM h WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.video_id = h.video_id AND f.frame = h.frame AND lower(trim(f.text)) = lower(trim(h.text)))""")
 def ocr_merge(x):
     a = x("screen").select("video_id", "frame", F.posexplode(F.split("text", "\n")).alias("seq", "text")).withColumn("seq", F.col("seq").cast("long"))
-    return sp.merge_ocr(a.filter("seq % 2 = 0"), a.filter("seq % 3 = 0"))
+    return sp.merge_ocr(a, a.withColumn("text", F.when(F.col("seq") % 3 == 0, F.concat(F.lit("inv "), "text")).otherwise(F.concat(F.lit("  "), "text"))))
 
 
-@query(f"""WITH {_NB}, c AS (SELECT video_id, count(*) AS candidates, count(*) FILTER (nb >= 22) AS deduped, count(*) FILTER (idx % 40 = 0) AS used FROM nbs GROUP BY video_id)
+@query(f"""WITH {_NB}, c AS (SELECT video_id, count(*) AS candidates, count(*) FILTER (nb >= 22) AS deduped, count(*) FILTER (nb >= 60) AS used FROM nbs GROUP BY video_id)
 SELECT video_id, candidates, deduped, used, CASE WHEN used < 10 THEN 'few' WHEN used > 40 THEN 'many' ELSE 'ok' END AS budget FROM c""")
 def status_report(x):
     f = fr.neighbor_distance(x("frames"))
-    return st.status_report(f, f.filter("nb >= 22"), f.filter("idx % 40 = 0"))
+    return st.status_report(f, f.filter("nb >= 22"), f.filter("nb >= 60"))
 
 
 @query("SELECT video_id, seq, concat('[', lpad(concat('', CAST(floor(t / 3600) AS BIGINT)), 2, '0'), ':', lpad(concat('', CAST(floor(t % 3600 / 60) AS BIGINT)), 2, '0'), ':', lpad(concat('', t % 60), 2, '0'), '] ', text) AS value FROM body")
@@ -427,22 +431,34 @@ def transcript_sink(x):
     return st.transcript_text(x("body"))
 
 
-@query()
+@query("""WITH a AS (SELECT video_id, CAST(last_t AS DOUBLE) AS d, CAST(unnest(range(8)) AS INT) AS anchor FROM ends),
+b AS (SELECT *, d * (0.05 + 0.9 * (anchor + CAST(CAST('0x' || substr(md5(concat('0:', video_id, ':', anchor)), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296) / 8) AS start FROM a)
+SELECT video_id, anchor, k, round(least(start + k * 2.0, greatest(0.0, d - 0.5)), 6) AS t FROM (SELECT *, CAST(unnest(range(4)) AS INT) AS k FROM b) c""")
 def probe_anchors(x):
-    return fr.probe_anchors(x("ends").select("video_id", F.col("last_t").cast("double").alias("duration")))
+    return _rounded_t(fr.probe_anchors(x("ends").select("video_id", F.col("last_t").cast("double").alias("duration"))))
+
+
+def _rounded_t(df):
+    return df.withColumn("t", F.round("t", 6))
 
 
-@query()
+@query("""RECURSIVE WITH r AS (SELECT video_id, idx, t, ink AS most, false AS wipe FROM frames WHERE idx = 0
+  UNION ALL SELECT f.video_id, f.idx, f.t, CASE WHEN f.ink < 0.5 * r.most THEN f.ink ELSE greatest(r.most, f.ink) END, f.ink < 0.5 * r.most FROM r JOIN frames f ON f.video_id = r.video_id AND f.idx = r.idx + 1)
+SELECT video_id, idx - 1 AS idx, t - 2 AS t FROM r WHERE wipe""")
 def ink_collapse(x):
     return fr.ink_collapse(x("frames"))
 
 
-@query()
+@query(f"""RECURSIVE WITH {_NB}, {_picked(6)}, marks AS ({_POINTERS}), {_clusters(26)},
+ah AS (SELECT video_id, t, CASE WHEN t - lag(t) OVER (PARTITION BY video_id ORDER BY t) <= 25 THEN 0 ELSE 1 END AS new FROM body WHERE regexp_matches(text, '{_regex(sp.AD)}')),
+ai AS (SELECT *, sum(new) OVER (PARTITION BY video_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS island FROM ah), ads AS (SELECT video_id, greatest(0, min(t) - 8) AS start, max(t) + 8 AS stop FROM ai GROUP BY video_id, island)
+SELECT video_id, idx, t, role, cluster, recurs, array_to_string(recurs_at, ' ') AS recurs_at, is_divider FROM g WHERE NOT EXISTS (SELECT 1 FROM ads s WHERE s.video_id = g.video_id AND g.t BETWEEN s.start AND s.stop)""")
 def frame_selection(x):
     """The whole selection: candidates, protection, clusters, exclusion."""
     b = x("body")
     spans = sp.ad_spans(b)
-    return select_frames(x("frames"), sp.pointers(b).select("video_id", "seq", "t"), b.filter("seq % 50 = 3"), spans, cut=50)["kept"]
+    kept = select_frames(x("frames"), sp.pointers(b).select("video_id", "seq", "t"), sp.uncertain_terms(b), spans, cut=50)["kept"]
+    return kept.withColumn("recurs_at", F.array_join(F.col("recurs_at").cast("array<string>"), " "))
 
 
 @query(f"""WITH h AS (SELECT video_id, t, CASE WHEN t - lag(t) OVER (PARTITION BY video_id ORDER BY t) <= 25 THEN 0 ELSE 1 END AS new FROM body WHERE regexp_matches(text, '{_regex(sp.AD)}')),
@@ -452,3 +468,6 @@ def pointers_outside_ads(x):
     """Flagship: raw lines to their transcript, pointers in it, none inside a promotional span."""
     lines = transcripts.parse_transcript(x("raw_lines")).withColumnRenamed("pos", "seq")
     return iv.exclude(sp.pointers(lines), sp.ad_spans(lines))
+
+
+from tidemark.plans import pictures, records  # noqa: E402, F401  they add their queries

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+# What a transcript line and a caption cue look like.
 LINE = r"^\[(\d\d):(\d\d):(\d\d)\]\s*(.*)"
 CUE = r"(\d\d:\d\d:\d\d)\.\d\d\d --> "
 
@@ -38,7 +39,7 @@ def parse_vtt(files: DataFrame) -> DataFrame:
     """
     blocks = files.select("video_id", F.posexplode(F.split("content", r"\n\n+")).alias("block_no", "block"))
     cues = blocks.withColumn("hms", F.regexp_extract("block", CUE, 1)).filter("hms != ''")
-    body = F.posexplode(F.slice(F.split("block", "\n"), 2, 1 << 20)).alias("k", "raw")
+    body = F.posexplode(F.slice(F.split("block", "\n"), F.lit(2), F.size(F.split("block", "\n")))).alias("k", "raw")
     lines = cues.select("video_id", "block_no", "hms", body).withColumn("line", F.trim(F.regexp_replace("raw", r"<[^>]+>", ""))).filter("line != ''")
     first = Window.partitionBy("video_id", "line").orderBy("block_no", "k")
     once = lines.withColumn("n", F.row_number().over(first)).filter("n = 1")
