@@ -239,7 +239,7 @@ def test_stream(spark, tmp_path):
 
 def test_selection_with_own_thresholds_uses_each_videos_cluster(spark):
     """Two videos of the same shape, one noisier: its candidates 100 s apart join under its own, wider limit only."""
-    steps = {1: [0] + [2] * 9 + [40] + [2] * 60 + [41] + [2] * 9, 2: [0] + [12] * 9 + [60] + [12] * 60 + [61] + [12] * 9}
+    steps = {1: [0] + [2] * 9 + [40] + [2] * 60 + [41] + [2] * 9, 2: [0] + [40] * 9 + [63] + [40] * 60 + [64] + [40] * 9}
     frames = None
     for v, values in steps.items():
         f = frame_rows(spark, values).withColumn("video_id", F.lit(v).cast("long"))
