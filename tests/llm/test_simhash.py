@@ -74,10 +74,60 @@ def test_index_finds_all_pairs(fps, bits):
     assert got == want
 
 
-def test_components_on_a_chain(spark):
-    chain = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
-    got = {r.id: r.component for r in common.components(chain).collect()}
-    assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100}
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 60), st.lists(st.tuples(st.integers(0, 59), st.integers(0, 59)), max_size=120))
+def test_local_roots(n, links):
+    i, j = (np.array([x[k] % n for x in links], dtype=np.int64) for k in (0, 1))
+    want = list(range(n))
+    for _ in range(n):
+        for a, b in zip(i, j):
+            want[a] = want[b] = min(want[a], want[b])
+    assert common.local_roots(n, i, j).tolist() == want
+    met = common.Union(n, most=7)
+    for a, b in zip(i, j):
+        met.add(np.array([a]), np.array([b]))
+    assert met.roots().tolist() == want
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components_on_a_chain(spark, few):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7), (None, 3), (-5, -9)], "a long, b long")
+    got = {r.id: r.component for r in common.components(chain, few=few).collect()}
+    assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100, -5: -9, -9: -9}
+    assert common.components(chain.limit(0), few=few).count() == 0
+
+
+@pytest.mark.parametrize("part, few", [(512, None), (3, 0)])
+def test_similar_against_plain_in_whole_buckets_and_in_parts(spark, monkeypatch, part, few):
+    """Crowds of copies of copies, common passages and many sizes: the components of brute force, whatever the parts."""
+    import random
+
+    from tests.llm.conftest import words
+
+    monkeypatch.setattr(simhash, "PART", part)
+    if few is not None:
+        monkeypatch.setattr(common, "FEW_LINKS", few)
+    rng, texts = random.Random(part), []
+    for base in range(3):
+        family = [words(base + 50, 40 + 60 * base).split()]
+        while len(family) < 40:
+            w = list(rng.choice(family))
+            for _ in range(rng.randrange(1, 3)):
+                w[rng.randrange(len(w))] = f"y{rng.randrange(1000)}"
+            family.append(w)
+        texts += [" ".join(w) for w in family]
+    passage = words(999, 30)
+    texts += [f"{words(700 + k, 5 + k % 9)} {passage} {words(800 + k, k % 5)}" for k in range(40)]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    sets = [set(simhash.hashes(t.encode(), 5).tolist()) for t in texts]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    got = {r.id: r.component_id for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(group))
 
 
 def five_words(text):

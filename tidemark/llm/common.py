@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -10,16 +12,21 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: list[str] = []
+#: Tables of at most this many narrow rows may be broadcast; larger ones are joined by shuffle.
+SMALL_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode, where that is unset, one of our own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if not _OWN:
             own = tempfile.mkdtemp(prefix="tidemark-")
             atexit.register(shutil.rmtree, own, ignore_errors=True)
@@ -28,21 +35,80 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _store(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, deleted when the session's JVM ends if nothing deletes it before."""
+    path = f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
+    store, at = _store(spark, path)
+    store.deleteOnExit(at)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts lineage, and survives a lost executor."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    done = df.sparkSession.read.schema(df.schema).parquet(path)
+    done.scratch = path
+    return done
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete stored tables that only tables stored since, and nothing lazy, were made from."""
+    for t in tables:
+        store, at = _store(t.sparkSession, t.scratch)
+        store.delete(at, True)
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, marked for broadcast if it is counted to have few rows; beyond that a join with it shuffles."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
+def salted(left: DataFrame, right: DataFrame, key: str, by: str, how: str = "left", salts: int = 16) -> DataFrame:
+    """left joined with right (one row a key), a hot key's rows dealt to `salts` tasks by the hash of the column `by`."""
+    n = F.lit(salts)
+    many = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.withColumn("_salt", F.pmod(F.xxhash64(by), n).cast("int")).join(many, [key, "_salt"], how).drop("_salt")
 
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run, for mapInArrow; once its task is done the worker, which Spark keeps, gives its memory back to the system."""
+
+    def own(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return own
+
+
+def sliced(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most about `most` bytes in one column, at least a row each."""
+    start = size = 0
+    for k, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+        if k > start and size + n > most:
+            yield batch.slice(start, k - start)
+            start, size = k, 0
+        size += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8; null is empty. The cast to binary copies nothing."""
     return [x or b"" for x in column.cast(pa.string()).cast(pa.binary()).to_pylist()]
@@ -92,11 +158,9 @@ def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The smallest index that each of 0..n-1 reaches by the links i-j."""
     root = np.arange(n)
     while len(i):
-        low = np.minimum(root[i], root[j])
-        np.minimum.at(root, root[i], low)
-        np.minimum.at(root, root[j], low)
-        np.minimum.at(root, i, low)
-        np.minimum.at(root, j, low)
+        # only roots are hooked, each to one smaller root; a link stays until its ends have one root
+        a, b = root[i], root[j]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
         while (root[root] != root).any():
             root = root[root]
         open_ = root[i] != root[j]
@@ -104,15 +168,52 @@ def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+class Union:
+    """Links as they come, held as roots and never all at once."""
+
+    def __init__(self, n: int, most: int = 1 << 20):
+        self.root, self.most, self.held, self.size = np.arange(n), most, [], 0
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        i, j = self.root[i], self.root[j]
+        new = i != j
+        if new.any():
+            self.held.append((i[new], j[new]))
+            self.size += int(new.sum())
+            if self.size > self.most:
+                self.roots()
+
+    def roots(self) -> np.ndarray:
+        """The smallest index that each reaches."""
+        if self.held:
+            i, j = (np.concatenate([x[k] for x in self.held]) for k in (0, 1))
+            self.root = local_roots(len(self.root), i, j)[self.root]
+            self.held, self.size = [], 0
+        return self.root
+
+
+#: Up to so many links, some 3 MB, one task joins in memory what larger sets join by rounds.
+FEW_LINKS = 200_000
+
+
+def _join_few(batches):
+    held = [np.stack([b.column(k).to_numpy() for k in (0, 1)]) for b in batches]
+    ids, at = np.unique(np.concatenate(held, 1) if held else np.zeros((2, 0), np.int64), return_inverse=True)
+    at = at.reshape(2, -1)
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[local_roots(len(ids), at[0], at[1])])], ["id", "component"])
+
+
+def components(edges: DataFrame, rounds: int = 60, few: int | None = None) -> DataFrame:
     """(id, component) for every id in edges (a, b): the smallest id it reaches.
 
-    Alternating star contraction, with joins and partial minima only, so neither links nor components ever meet in one
-    task or on the driver. Each round is written to the shared folder. Self-links and nulls count as no link; their
-    ids are absent from the result. An empty table gives an empty result.
+    Up to `few` links (FEW_LINKS) one task joins them. More are joined by alternating star contraction, with joins and
+    partial minima only, so neither links nor components ever meet in one task or on the driver, each round written to the
+    shared folder. Self-links and nulls count as no link; their ids are absent from the result. An empty table gives an
+    empty result.
     """
-    spark = edges.sparkSession
     links = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "links")
+    if links.count() <= (FEW_LINKS if few is None else few):
+        return links.coalesce(1).mapInArrow(frugal(_join_few), "id long, component long")
     mark = None
     for _ in range(rounds):
         both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -121,10 +222,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             least.filter("m < u").select("u", F.col("m").alias("v"))
         ).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+        settled = large.join(down, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             down.select("u", F.col("m").alias("v"))
         ).distinct()
-        links = stored(small, "links")
+        before, links = links, stored(settled, "links")
+        dropped(before)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark or not now[0]:
             break
