@@ -4,7 +4,8 @@ A source's target over its size says how many copies each of its documents gets
 and a fraction. The fractions are rounded in pairs: of two documents one gives up mass to the other, chosen so that the
 expected words of each and the sum of both stay, until one of the two is a whole number. What remains of a block of
 documents is one residual; residuals of blocks meet in the next level's blocks, up to one a source, which a draw
-settles. So a source's words miss its target by less than one document. DataFrame functions only.
+settles. The last residual is mostly one of the longest documents, so what its draw adds or takes is then made good by
+turning over a few shorter documents that fit into the gap. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from pyspark.sql.window import Window
 
 from . import common
 
+#: How many documents of a source, about, are looked through for some that fill its last gap.
+FILLERS = 2000
+#: Of how many units any two may be turned at once.
+SWAPS = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -97,6 +102,33 @@ def dependent_round(units: DataFrame, seed: int = 7, block: int = 64) -> DataFra
     return out.select("u.unit", (F.col("u.p") >= 0.5).alias("up"))
 
 
+def _turned(settled: DataFrame, seed: int) -> DataFrame:
+    """(id, source, size) of the units to turn over so that each source's words come nearest to its target.
+
+    Looked through are about FILLERS units of a source, drawn by hash. Twice, those that close the gap are turned by falling
+    size as long as they fit, and then the one or two, of SWAPS units, that leave the least of it, in either direction.
+    """
+    weight = F.col("size") * F.col("m")
+    got = settled.groupBy("source").agg(F.sum((F.col("whole") + F.col("up").cast("long")) * weight).alias("got"), F.first("target").alias("aim"), F.count("*").alias("n"))
+    gaps = got.select(F.col("source").alias("s"), (F.col("aim") - F.col("got")).alias("gap"), "n").filter(F.abs("gap") >= 1)
+    met = settled.filter("open").drop("target").join(common.small(gaps), F.col("source").eqNullSafe(F.col("s")))
+    some = met.filter(_draw(seed + 1, F.col("id"), F.col("size")) * F.col("n") < FILLERS)
+    # e: how many words turning the unit over adds
+    one = F.struct((-weight).alias("less"), _draw(seed + 2, F.col("id"), F.col("size")).alias("draw"), F.when(F.col("up"), -weight).otherwise(weight).alias("e"), "id", "size")
+    now = some.groupBy("source").agg(F.array_sort(F.collect_list(one)).alias("rest"), F.first("gap").alias("left")).withColumn("taken", F.filter("rest", lambda u: F.lit(False)))
+    fits = lambda u, left: (F.signum(u["e"].cast("double")) == F.signum(left)) & (F.abs(u["e"]) <= F.abs(left))
+    step = lambda a, u: F.when(fits(u, a["left"]), F.struct((a["left"] - u["e"]).alias("left"), F.concat(a["taken"], F.array(u)).alias("taken"))).otherwise(a)
+    for _ in range(2):
+        now = now.withColumn("s", F.aggregate("rest", F.struct("left", "taken"), step)).select("source", "s.left", "s.taken", F.array_except("rest", "s.taken").alias("rest"))
+        few = F.slice(F.array_sort(F.transform("rest", lambda u: F.struct(u["draw"].alias("draw"), u.alias("u")))), 1, SWAPS)
+        pairs = F.flatten(F.transform(few, lambda a: F.transform(few, lambda b: F.struct(F.abs(F.col("left") - a["u"]["e"] - F.when(a["u"] == b["u"], 0).otherwise(b["u"]["e"])).alias("open"), F.array_distinct(F.array(a["u"], b["u"])).alias("us")))))
+        now = now.withColumn("best", F.array_min(pairs))
+        turned = F.when(F.col("best.open") < F.abs("left"), F.col("best.us")).otherwise(F.filter("rest", lambda u: F.lit(False)))
+        now = now.withColumn("turned", turned).select("source", F.aggregate("turned", F.col("left"), lambda a, u: a - u["e"]).alias("left"), F.concat("taken", "turned").alias("taken"), F.array_except("rest", "turned").alias("rest"))
+    taken = now.select("source", F.explode("taken").alias("u"))
+    return taken.select(F.col("source").alias("t_source"), F.col("u.id").alias("t_id"), F.col("u.size").alias("t_size"), F.lit(True).alias("turn"))
+
+
 def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0, seed: int = 7, block: int = 64) -> DataFrame:
     """(id, source, size, source_size, target, copies, taken), one row per row of df.
 
@@ -104,26 +136,36 @@ def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "so
     up. A document without words, and all of a source without words, gets the copies that its source's whole part gives
     and takes 0 words. Rows that repeat an id within a source, at one size, are one unit: all get the same copies. Null
     ids and sources are values like others. Other columns are not looked at; an empty table gives an empty result.
+
+    A source's taken words miss its target by less than its smallest unit that could still be turned over, mostly by far
+    less; a source of a few documents misses it by what no one or two of them can close.
     """
     docs = common.stored(df.select(F.col(id).cast("long").alias("id"), F.col(source).cast("string").alias("source"), words(F.col(text)).alias("size")).groupBy("id", "source", "size").agg(F.count("*").alias("m")), "sizes")
     sources = docs.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("source_size"))
     aims = common.stored(targets(sources, weights, most), "targets").withColumnRenamed("source", "s")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     aimed = docs.join(aims, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("whole", F.floor(rate)).withColumn("p", rate - F.floor(rate))
-    unit = F.struct("id", "source", "size", "m", "source_size", "target", "whole")
+    unit = F.struct("id", "source", "size", "m", "source_size", "target", "whole", ((F.col("p") > 0) & (F.col("size") > 0)).alias("open"))
     weighed = aimed.filter("size > 0").select(F.col("source").alias("grp"), F.struct("id", "size").alias("key"), unit.alias("unit"), (F.col("size") * F.col("m")).alias("size"), "p")
     done = dependent_round(weighed, seed, block).union(aimed.filter("size = 0").select(unit.alias("unit"), F.lit(False).alias("up")))
-    copies = (F.col("unit.whole") + F.col("up").cast("long")).alias("copies")
-    rows = done.select("unit.*", copies).withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
+    settled = common.stored(done.select("unit.*", "up"), "settled")
+    turned = common.stored(_turned(settled, seed), "turned")
+    same = F.col("source").eqNullSafe(F.col("t_source")) & F.col("id").eqNullSafe(F.col("t_id")) & (F.col("size") == F.col("t_size"))
+    up = F.col("up") != F.coalesce("turn", F.lit(False))
+    rows = settled.join(common.small(turned), same, "left").withColumn("copies", F.col("whole") + up.cast("long"))
+    rows = rows.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
     return rows.select("id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def apply(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
-    """The mix itself: each row of df as often as it is taken, with df's own columns; rows without words go."""
-    units = mix(df, id, text, source, **how).filter("taken > 0").select(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")).distinct()
-    same = df[id].cast("long").eqNullSafe(F.col("_id")) & df[source].cast("string").eqNullSafe(F.col("_source")) & (words(df[text]) == F.col("_size"))
-    rows = df.join(units, same).select(*[df[c] for c in df.columns], F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
-    return rows.drop("_copy")
+    """The mix itself: each row of df as often as it is taken, with df's own columns.
+
+    The copies are broadcast while the documents that have any are few; beyond that texts are shuffled to them.
+    """
+    units = common.stored(mix(df, id, text, source, **how).filter("copies > 0").select("id", "source", "size", "copies").distinct(), "copies")
+    each = common.small(units.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("id", "source", "size"))
+    same = df[id].cast("long").eqNullSafe(each["id"]) & df[source].cast("string").eqNullSafe(each["source"]) & (words(df[text]) == each["size"])
+    return df.join(each, same).select(*[df[c] for c in df.columns])
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:

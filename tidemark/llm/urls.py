@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from . import common
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+#: A place's urls are dealt to so many tasks; the column that says to which.
+SALTS, _SALT = 8, "salt of judge"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -66,8 +68,12 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", otherwise: str = "a
     keyed = known.withColumn("r_digest", _digest(F.col("r_host"), F.col("r_key"))).withColumn("short", _short(F.col("r_digest")))
     hits = hashed.join(keyed, "short").filter((F.col("digest") == F.col("r_digest")) & F.startswith("path", "r_path"))
     rank = F.struct((F.length("r_host") + F.length("r_path")).alias("n"), F.length("r_host").alias("h"), (F.col("verdict") == "block").alias("b"), F.concat("r_host", "r_path").alias("rule"), "verdict")
-    best = hits.groupBy("host", "path").agg(F.max(rank).alias("best"))
-    return parsed.join(best, ["host", "path"], "left").select(*names, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(otherwise)).alias("verdict"))
+    best = hits.groupBy("host", "path").agg(F.max(rank).alias("best")).select(F.col("host").alias("b_host"), F.col("path").alias("b_path"), F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
+    # a place without a rule, such as the empty one of all broken urls, is not joined, and the others' urls are salted
+    best = best.withColumn("b_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    told = parsed.withColumn(_SALT, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    same = (told["host"] == best["b_host"]) & (told["path"] == best["b_path"]) & (told[_SALT] == best["b_salt"])
+    return told.join(best, same, "left").select(*[told[c] for c in names], told["host"], told["path"], best["rule"], F.coalesce(best["verdict"], F.lit(otherwise)).alias("verdict"))
 
 
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
