@@ -115,7 +115,7 @@ def _features(text: str) -> set[str]:
 
 
 def _count(batches):
-    for b in batches:
+    for b in (part for b in batches for part in common.sliced(b, 0, 4 << 20)):
         counts: dict[str, list[int]] = {}
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             for f in _features(text or ""):
@@ -123,19 +123,21 @@ def _count(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array([c[k] for c in counts.values()], pa.int64()) for k in (1, 0))], ["feature", "toxic", "clean"])
 
 
-def log_odds(texts: DataFrame, alpha: float = 20.0, least: float = 1.0, fewest: int = 3, most: int = 200_000) -> dict[str, float]:
+def log_odds(texts: DataFrame, alpha: float | None = None, least: float = 2.0, shift: float = 1.0) -> dict[str, float]:
     """Features' log-odds against the overall rate, from labelled texts (text, toxic: 0 or 1).
 
-    A feature counts once a text. alpha is the priors' weight in texts. Kept are features of at least `fewest` texts
-    that differ from what their prefix says by at least `least`; if more than `most` do, those with most evidence. That
-    bounds the model.
+    A feature counts once a text. alpha is the priors' weight in texts, a quarter of the toxic texts between 2 and 20 if it
+    is not given. A feature that differs from what its prefix says by less than `shift`, or that speaks for toxicity by less
+    than `least` standard errors of its own, says what the prefix says, and so needs no entry. All others are in the
+    model, which the bounded number of labelled texts bounds.
     """
     n = {r.toxic: r.n for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return {}
     rate = n[1] / (n[0] + n[1])
-    counts = texts.select(F.col("text"), F.col("toxic").cast("int").alias("toxic")).mapInArrow(_count, "feature string, toxic long, clean long")
-    counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(F.col("toxic") + F.col("clean") >= fewest)
+    alpha = min(20.0, max(2.0, n[1] / 4)) if alpha is None else alpha
+    counts = texts.select(F.col("text"), F.col("toxic").cast("int").alias("toxic")).mapInArrow(common.frugal(_count), "feature string, toxic long, clean long")
+    counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     counts = common.stored(counts.withColumn("stem", F.regexp_replace("feature", r"\*$", "")).withColumn("size", F.when(F.col("feature").endswith("*"), F.length("stem")).otherwise(0)), "features")
 
     def posterior(own: DataFrame, up: str, prefixes: DataFrame | None) -> DataFrame:
@@ -148,9 +150,11 @@ def log_odds(texts: DataFrame, alpha: float = 20.0, least: float = 1.0, fewest:
         prefixes = level if prefixes is None else prefixes.union(level)
     every = prefixes.union(posterior(counts.filter("size = 0"), f"substring(stem, 1, {PREFIXES[-1]})", prefixes))
     logit = lambda c: F.log(F.col(c) / (1 - F.col(c)))
-    gain = F.abs(logit("p") - logit("prior"))
-    kept = every.filter(gain >= least).select("feature", (logit("p") - F.lit(math.log(rate / (1 - rate)))).alias("odds"), (gain * (F.col("toxic") + F.col("clean"))).alias("weight"))
-    return {r.feature: r.odds for r in kept.orderBy(F.desc("weight"), "feature").limit(most).collect()}
+    # the variance of a posterior log-odds, from its counts with the prior's
+    error = F.sqrt(1 / (F.col("toxic") + F.lit(alpha) * F.col("prior")) + 1 / (F.col("clean") + F.lit(alpha) * (1 - F.col("prior"))))
+    gain = logit("p") - logit("prior")
+    kept = every.filter((gain <= -shift) | (gain >= F.greatest(F.lit(shift), F.lit(least) * error)))
+    return {r.feature: r.odds for r in kept.select("feature", (logit("p") - F.lit(math.log(rate / (1 - rate)))).alias("odds")).collect()}
 
 
 def _solve(counts: dict[float, int], step: float) -> float:
@@ -218,7 +222,7 @@ def fit(texts: DataFrame, check: DataFrame, cost: float = 0.5, most_texts: int =
 
     bins = {}
     for check in (check, texts) if model.odds else ():
-        seen = common.stored(check.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(look, "label int, n long, x double"), "chance")
+        seen = common.stored(check.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(common.frugal(look), "label int, n long, x double"), "chance")
         bins = {r.x: r.n for r in seen.filter("label = -1").groupBy("x").agg(F.sum("n").alias("n")).collect()}
         if bins and seen.filter("label = 1").limit(1).count():
             break
@@ -241,7 +245,7 @@ def fit(texts: DataFrame, check: DataFrame, cost: float = 0.5, most_texts: int =
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([m.statistic(tokens(t or ""), of) for t in b.column(0).to_pylist()], pa.float64())], ["label", "x"])
 
-    pairs = check.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(measure, "label int, x double").toPandas()
+    pairs = check.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(common.frugal(measure), "label int, x double").toPandas()
     some, rest = pairs[pairs.x > 0], pairs[pairs.x == 0]
     if len(some):
         model.slope, model.offset = _logistic(np.log1p(some.x.to_numpy()), some.label.to_numpy(float))
@@ -270,7 +274,7 @@ def score(df: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -
                 found.append([dict(zip(("start", "end", "score", "expected"), p)) for p in m.passages(words, of)])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(found, kind)], ["id", "score", "passages"])
 
-    return df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "id long, score double, passages array<struct<start: bigint, end: bigint, score: double, expected: double>>")
+    return df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(common.frugal(run), "id long, score double, passages array<struct<start: bigint, end: bigint, score: double, expected: double>>")
 
 
 def keep_clean(df: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -283,7 +287,7 @@ def keep_clean(df: DataFrame, model: Model, text: str = "text", threshold: float
         for b in batches:
             yield b.filter(pa.array([m.probability(m.statistic(tokens(t.as_py() or ""), of)) < threshold for t in b.column(at)], pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(common.frugal(run), df.schema)
 
 
 FOLDS, HELD, CURVE = 5, 0, 4
