@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from . import common
 
@@ -81,16 +82,14 @@ def _blocks(a: np.ndarray, b: np.ndarray, most: int = 1 << 20):
         yield s, a[s : s + step]
 
 
-def dual(tree: CoverTree, x: np.ndarray, other: CoverTree | None, y: np.ndarray, wx: np.ndarray, wy: np.ndarray, exact, reach: float):
-    """Per point of x and of y the weight of its links to the other side, and pairs (in x, in y) that join all linked ones.
+def dual(tree: CoverTree, x: np.ndarray, other: CoverTree | None, y: np.ndarray, wx: np.ndarray, wy: np.ndarray, exact, reach: float, met):
+    """Per point of x and of y the weight of its links to the other side; `met` gets pairs (in x, in y) that join all linked ones.
 
     Without `other`, y is x and each pair of different points counts once for both. `exact(i, j)` settles pairs.
     """
     own = other is None
     t2 = tree if own else other
     nx, ny = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
-    pairs = []
-
     least = 1 - reach * reach / 2
 
     def leaves(i, j, dot):
@@ -103,10 +102,10 @@ def dual(tree: CoverTree, x: np.ndarray, other: CoverTree | None, y: np.ndarray,
             i, j = i[good], j[good]
         np.add.at(nx, i, wy[j])
         np.add.at(ny, j, wx[i])
-        pairs.append((i, j))
+        met(i, j)
 
     if not len(x) or not len(y):
-        return nx, ny, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return nx, ny
     stack = [(0, 0)]
     while stack:
         a, b = stack.pop()
@@ -126,7 +125,7 @@ def dual(tree: CoverTree, x: np.ndarray, other: CoverTree | None, y: np.ndarray,
             else:
                 nx[pa_] += sy
                 ny[pb] += sx
-            pairs.append((np.concatenate([np.full(len(pb), pa_[0]), pa_]), np.concatenate([pb, np.full(len(pa_), pb[0])])))
+            met(np.concatenate([np.full(len(pb), pa_[0]), pa_]), np.concatenate([pb, np.full(len(pa_), pb[0])]))
             continue
         ka, kb = tree.children[a], t2.children[b]
         if not ka and not kb:
@@ -155,14 +154,13 @@ def dual(tree: CoverTree, x: np.ndarray, other: CoverTree | None, y: np.ndarray,
             different = points & (ca[i] != cb[j]) if own else points
             leaves(tree.centre[ca[i[different]]], t2.centre[cb[j[different]]], dot[different])
             stack += zip(ca[i[~points]].tolist(), cb[j[~points]].tolist())
-    i, j = (np.concatenate([p[k] for p in pairs] or [np.zeros(0, np.int64)]) for k in (0, 1))
-    return nx, ny, i, j
+    return nx, ny
 
 
 def _matrix(vectors) -> np.ndarray:
     """A list column whose lists are of one length."""
     flat = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1).astype(float)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -170,10 +168,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _dealer(centres: dict, reach: float):
+def _dealer(sent, reach: float):
     """Deals vectors (label, dim, vec, rep, m) to their home cell and to those they visit."""
 
     def run(batches):
+        centres = sent.value
         for b in batches:
             labels, dims, reps = (b.column(k).to_pylist() for k in ("label", "dim", "rep"))
             out = []
@@ -217,25 +216,22 @@ def _search(cosine: float):
                 rep, m, part, home = (g.column(k).to_numpy() for k in ("rep", "m", "part", "home"))
                 cell, low, high = (g.column(k)[0].as_py() for k in ("cell", "low", "high"))
                 norm = np.sqrt((raw * raw).sum(1))
-                count = np.zeros(len(x), np.int64)
-                links = []
+                count, links = np.zeros(len(x), np.int64), common.Union(len(x))
 
                 def meet(i, j):
                     def exact(a, b):
                         return (raw[i[a]] * raw[j[b]]).sum(1) / (norm[i[a]] * norm[j[b]]) >= cosine
 
-                    na, nb, a, b = dual(CoverTree(x[i]), x[i], CoverTree(x[j]), x[j], m[i], m[j], exact, reach)
+                    na, nb = dual(CoverTree(x[i]), x[i], CoverTree(x[j]), x[j], m[i], m[j], exact, reach, lambda a, b: links.add(i[a], j[b]))
                     np.add.at(count, i, na)
                     np.add.at(count, j, nb)
-                    links.append((i[a], j[b]))
 
                 def inside(i):
                     def exact(a, b):
                         return (raw[i[a]] * raw[i[b]]).sum(1) / (norm[i[a]] * norm[i[b]]) >= cosine
 
-                    na, nb, a, b = dual(CoverTree(x[i]), x[i], None, x[i], m[i], m[i], exact, reach)
+                    na, nb = dual(CoverTree(x[i]), x[i], None, x[i], m[i], m[i], exact, reach, lambda a, b: links.add(i[a], i[b]))
                     np.add.at(count, i, na + nb)
-                    links.append((i[a], i[b]))
 
                 mine = home == cell
                 if low == high:
@@ -246,14 +242,13 @@ def _search(cosine: float):
                     meet(np.flatnonzero(left & mine), np.flatnonzero(right & mine))
                     meet(np.flatnonzero(left & mine), np.flatnonzero(right & ~mine))
                     meet(np.flatnonzero(left & ~mine), np.flatnonzero(right & mine))
-                i, j = (np.concatenate([p[k] for p in links]) for k in (0, 1))
-                root = common.local_roots(len(x), i, j)
+                root = links.roots()
                 yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(rep[root]), pa.array(count)], ["rep", "root", "n"]).filter(pa.array((count > 0) | (root != np.arange(len(x)))))
 
     return run
 
 
-def near_vectors(df: DataFrame, cosine: float = 0.98, id: str = "vec_id", vector: str = "embedding", label: str = "label", cell: int = 1024, most_centres: int = 4096, seed: int = 5) -> DataFrame:
+def near_vectors(df: DataFrame, cosine: float = 0.98, id: str = "vec_id", vector: str = "embedding", label: str = "label", cell: int = 16_384, most_centres: int = 4096, seed: int = 5) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per row of df.
 
     Rows link when their labels are equal and not null, their vectors have the same length, and the cosine in double
@@ -265,13 +260,16 @@ def near_vectors(df: DataFrame, cosine: float = 0.98, id: str = "vec_id", vector
 
     Equal vectors are joined first. Centres are a hash sample of about one vector in `cell`, at most about
     `most_centres` in all; a cell with more than `cell` vectors is dealt out by pairs of parts, so every pair still meets.
+    A label of up to `cell` vectors is one cell, and nothing is sent twice. Beyond, a vector is sent to its own cell and to
+    those it may have a neighbour in: a few where the vectors form groups, up to all of them where they have no structure.
     """
     spark = df.sparkSession
     reach = float(np.sqrt(2 - 2 * cosine))
-    rows = df.select(F.col(id).cast("long").alias("id"), F.col(label).cast("long").alias("label"), F.col(vector).cast("array<double>").alias("vec"))
+    kind = "array<float>" if df.schema[vector].dataType == ArrayType(FloatType(), df.schema[vector].dataType.containsNull) else "array<double>"
+    rows = df.select(F.col(id).cast("long").alias("id"), F.col(label).cast("long").alias("label"), F.col(vector).cast(kind).alias("vec"))
     usable = F.col("label").isNotNull() & F.coalesce(F.size("vec") > 0, F.lit(False)) & F.coalesce(~F.exists("vec", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))), F.lit(False)) & F.coalesce(F.exists("vec", lambda v: v != 0), F.lit(False))
     # 0.0 + x makes -0.0 and 0.0 one value
-    named = common.stored(rows.withColumn("ok", usable).withColumn("vec", F.when(F.col("ok"), F.transform("vec", lambda v: v + F.lit(0.0)))).withColumn("key", F.when(F.col("ok"), F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.transform("vec", lambda v: F.hex(v.cast("string")))), 256))).drop("ok"), "vectors")
+    named = common.stored(rows.withColumn("ok", usable).withColumn("vec", F.when(F.col("ok"), F.transform("vec", lambda v: v + F.lit(0.0)).cast(kind))).withColumn("key", F.when(F.col("ok"), F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.transform("vec", lambda v: F.hex(v.cast("double").cast("string")))), 256))).drop("ok"), "vectors")
     classes = common.stored(
         named.filter("key is not null").groupBy("key").agg(F.min("id").alias("rep_id"), F.count("*").alias("m"), F.first("label").alias("label"), F.first("vec").alias("vec")).select(F.monotonically_increasing_id().alias("rep"), "key", "rep_id", "m", "label", "vec", F.size("vec").alias("dim")),
         "classes",
@@ -285,7 +283,7 @@ def near_vectors(df: DataFrame, cosine: float = 0.98, id: str = "vec_id", vector
     for r in sorted(sample):
         centres.setdefault((r.label, r.dim), []).append(r.vec)
     centres = {g: _unit(np.array(v)) for g, v in centres.items()}
-    dealt = classes.select("label", "dim", "vec", "rep", "m").mapInArrow(_dealer(centres, reach), "label long, dim int, vec array<double>, rep long, m long, cell int, home int")
+    dealt = classes.select("label", "dim", "vec", "rep", "m").mapInArrow(common.frugal(_dealer(spark.sparkContext.broadcast(centres), reach)), f"label long, dim int, vec {kind}, rep long, m long, cell int, home int")
     sizes = dealt.groupBy("label", "dim", "cell").agg(F.count("*").alias("n")).filter(F.col("n") > cell)
     k = F.ceil(F.coalesce("n", F.lit(1)) / cell).cast("int")
     tasks = (
@@ -296,14 +294,18 @@ def near_vectors(df: DataFrame, cosine: float = 0.98, id: str = "vec_id", vector
         .select("label", "dim", "cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "home", "rep", "m", "vec")
     )
     keys = ("label", "dim", "cell", "low", "high")
-    met = tasks.repartition(common.parts(spark), *keys).sortWithinPartitions(*keys).mapInArrow(_search(cosine), "rep long, root long, n long")
+    met = tasks.repartition(common.parts(spark), *keys).sortWithinPartitions(*keys).mapInArrow(common.frugal(_search(cosine)), "rep long, root long, n long")
     found = common.stored(met, "met")
     ends = common.components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    known = classes.select("rep", "key", "rep_id", "m").join(links, "rep", "left").join(ends.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep_id", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "rep").alias("c"))
+    known = classes.select("rep", "key", "rep_id", "m").join(links, "rep", "left").join(ends.withColumnRenamed("id", "rep"), "rep", "left")
+    known = known.filter("n IS NOT NULL OR m > 1").select("rep", "key", "rep_id", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "rep").alias("c"))
+    # a vector that is alone is not joined; hot components and keys are dealt to several tasks
+    known = common.stored(known, "known")
     least = known.groupBy("c").agg(F.min("rep_id").alias("component_id"))
-    of = known.join(least, "c").select("key", "n_links", "component_id")
-    joined = named.select("id", "key").filter("key is not null").join(of, "key").select("id", "n_links", "component_id")
+    of = common.salted(known, least, "c", "rep").select("key", F.col("n_links").alias("found"), "component_id")
+    joined = common.salted(named.select("id", "key").filter("key is not null"), of, "key", "id")
+    joined = joined.select("id", F.coalesce("found", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("found").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
     alone = named.filter("key is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return joined.union(alone).select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
