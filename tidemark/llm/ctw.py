@@ -28,6 +28,8 @@ HELD_KEYS = 2_000_000
 #: Most entries of each kind that are broadcast, at 16 bytes: 32 MB. The others are joined.
 BROADCAST = 1 << 21
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: The end's key; no word's sum is likelier to be this than any other 128-bit value.
+END_KEY = (0, 0)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -37,15 +39,20 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _weights(n: int) -> np.ndarray:
-    return _mix((np.arange(n, dtype=np.uint64) + np.uint64(1)) * _GOLDEN) | np.uint64(1)
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different pair (a, b), and for every place which of these it is."""
+    _, at, back = np.unique(a, return_index=True, return_inverse=True)
+    if (b[at][back] != b).any():  # one a with two b
+        _, at, back = np.unique(np.stack([a, b], 1), axis=0, return_index=True, return_inverse=True)
+        back = back.ravel()
+    return at, back
 
 
 class Stream:
     """Texts as one array of bytes, with the grams and word keys of each.
 
     Before each text stand `depth` end bytes. A gram is a byte and the `depth` bytes before it, the oldest highest. A
-    word's key is a sum of its bytes with a weight for each place, modulo 2^64; the end has key 0.
+    word's key has 128 bits: two sums of a hash of each byte with its place.
     """
 
     def __init__(self, texts: list[bytes], depth: int):
@@ -71,10 +78,11 @@ class Stream:
         if len(starts):
             at = np.flatnonzero(letter)
             place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            part = (raw[at].astype(np.uint64) + np.uint64(1)) * _weights(int(sizes.max()))[place]
-            self.words = np.add.reduceat(part, np.cumsum(sizes) - sizes)
+            part = _mix(((place.astype(np.uint64) << np.uint64(8)) | raw[at]) * _GOLDEN + np.uint64(1))
+            first_of = np.cumsum(sizes) - sizes
+            self.words, self.words2 = np.add.reduceat(part, first_of), np.add.reduceat(_mix(part ^ _GOLDEN), first_of)
         else:
-            self.words = np.zeros(0, np.uint64)
+            self.words = self.words2 = np.zeros(0, np.uint64)
         self.text_of_word = np.searchsorted(ends, starts, "right")
 
 
@@ -91,27 +99,28 @@ def _slices(batch: pa.RecordBatch, column: int):
 
 
 class _Counts:
-    """Keys with two counts, added up part by part."""
+    """Keys of two parts with two counts, added up part by part."""
 
     def __init__(self):
         self.parts, self.n = [], 0
 
-    def add(self, keys: np.ndarray, *counts: np.ndarray) -> None:
-        self.parts.append((keys, *counts))
-        self.n += len(keys)
+    def add(self, *columns: np.ndarray) -> None:
+        self.parts.append(columns)
+        self.n += len(columns[0])
         if self.n > 2 * HELD_KEYS:
             self.fold()
 
     def fold(self) -> None:
-        keys, back = np.unique(np.concatenate([p[0] for p in self.parts] or [np.zeros(0, np.uint64)]), return_inverse=True)
-        sums = (np.bincount(back, np.concatenate([p[k] for p in self.parts] or [np.zeros(0)]), len(keys)).astype(np.int64) for k in (1, 2))
-        self.parts, self.n = [(keys, *sums)], len(keys)
+        key, key2, *counts = (np.concatenate([p[k] for p in self.parts] or [np.zeros(0, np.uint64)]) for k in range(4))
+        at, back = _distinct(key, key2)
+        sums = (np.bincount(back, x, len(at)).astype(np.int64) for x in counts)
+        self.parts, self.n = [(key[at], key2[at], *sums)], len(at)
 
     def batch(self, kind: int) -> pa.RecordBatch:
         self.fold()
-        keys, trained, total = self.parts[0]
+        key, key2, trained, total = self.parts[0]
         self.parts, self.n = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys.view(np.int64)), pa.array(trained), pa.array(total)], ["kind", "key", "trained", "total"])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int8)), pa.array(key.view(np.int64)), pa.array(key2.view(np.int64)), pa.array(trained), pa.array(total)], ["kind", "key", "key2", "trained", "total"])
 
 
 def _counter(depth: int):
@@ -123,10 +132,12 @@ def _counter(depth: int):
                 s = Stream(texts, depth)
                 mine = train[at : at + len(texts)]
                 grams, n = np.unique(s.grams * np.uint64(2) + mine[s.text_of_gram], return_counts=True)
-                kinds[0].add(grams >> np.uint64(1), n * (grams & np.uint64(1)).astype(np.int64), n)
-                words, n = np.unique(s.words[mine[s.text_of_word]], return_counts=True)
-                ends = [int(mine.sum())]
-                kinds[1].add(np.concatenate([words, np.zeros(1, np.uint64)]), np.concatenate([n, ends]), np.concatenate([n, ends]))
+                kinds[0].add(grams >> np.uint64(1), np.zeros(len(grams), np.uint64), n * (grams & np.uint64(1)).astype(np.int64), n)
+                known = mine[s.text_of_word]
+                words, words2 = s.words[known], s.words2[known]
+                at_, back = _distinct(words, words2)
+                n = np.append(np.bincount(back, minlength=len(at_)), int(mine.sum()))
+                kinds[1].add(np.append(words[at_], np.uint64(END_KEY[0])), np.append(words2[at_], np.uint64(END_KEY[1])), n, n)
                 for k, counts in enumerate(kinds):
                     if counts.n > HELD_KEYS:
                         counts.fold()
@@ -190,17 +201,22 @@ class _Subtrees:
         return np.log10(np.where(self.bit, p, 1 - p)).reshape(8, -1).sum(0)
 
 
-#: Below this many context bytes a subtree is worked on by one task: of depth 5 it has at most 2^24 grams.
+#: Below this many context bytes, or more where they are too common, a subtree is worked on by one task.
 SPLIT = 3
+#: Most grams of one subtree, some 300 MB; with a whole context there are at most 256.
+SUBTREE = 500_000
 
 
-def gram_values(grams: DataFrame, depth: int) -> DataFrame:
+def gram_values(grams: DataFrame, depth: int, split: int = SPLIT, subtree: int = SUBTREE) -> DataFrame:
     """(key, value): log10 of the mixed probability of each gram's last byte after the others, from (key, trained).
 
-    Every gram that is to be scored must be in the table, with 0 if no training text has it.
+    Every gram that is to be scored must be in the table, with 0 if no training text has it. Subtrees begin at the least
+    number of context bytes, from `split` on, at which none has more than `subtree` grams.
     """
-    spark, split = grams.sparkSession, min(SPLIT, depth)
+    spark, split = grams.sparkSession, min(split, depth)
     context = lambda c: F.shiftrightunsigned(c, 8).bitwiseAND(F.lit((1 << (8 * split)) - 1))
+    while split < depth and (grams.groupBy(context(F.col("key")).alias("sub")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0) > subtree:
+        split += 1
 
     def same(t: pa.Table):
         return common.new_group(t.column("sub").to_numpy())
@@ -214,7 +230,7 @@ def gram_values(grams: DataFrame, depth: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(top[0].view(np.int64)), *map(pa.array, top[1:5])], ["node", "a", "b", "pw", "w"])
 
     levels = [None] * (split + 1)
-    levels[split] = common.stored(dealt(grams.select("key", "trained")).mapInArrow(fold, "node long, a double, b double, pw double, w double"), "level")
+    levels[split] = common.stored(dealt(grams.select("key", "trained")).mapInArrow(common.frugal(fold), "node long, a double, b double, pw double, w double"), "level")
     for d in range(split - 1, -1, -1):
         up = F.col("node").bitwiseAND(F.lit((1 << (8 * d + 8)) - 1))
         own = levels[d + 1].groupBy(up.alias("node")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("pw").alias("below"))
@@ -241,20 +257,22 @@ def gram_values(grams: DataFrame, depth: int) -> DataFrame:
 
     none = F.lit(None).cast("double")
     both = grams.select("key", F.col("trained").cast("double").alias("trained"), none.alias("p1"), none.alias("rest")).union(top.select("node", none, "p1", "rest"))
-    return dealt(both).mapInArrow(value, "key long, value double")
+    return dealt(both).mapInArrow(common.frugal(value), "key long, value double")
 
 
 class Lookup:
-    """Key to value for whole arrays: entries sorted by a mixed key, an index on its leading bits, short probes."""
+    """Key to value for whole arrays: entries sorted by a mixed key, an index on its leading bits, short probes.
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
+    A second part of the keys, where there is one, is compared too."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, more: np.ndarray | None = None):
         self.bits = max(1, int(len(keys)).bit_length())
         mixed = _mix(keys)
         order = np.argsort(mixed)
-        self.keys, self.values = keys[order], values[order]
+        self.keys, self.values, self.more = keys[order], values[order], None if more is None else more[order]
         self.start = np.searchsorted(mixed[order] >> np.uint64(64 - self.bits), np.arange((1 << self.bits) + 1, dtype=np.uint64)).astype(np.int32)
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
+    def find(self, keys: np.ndarray, more: np.ndarray | None = None) -> np.ndarray:
         """Positions, -1 where there is none."""
         slot = (_mix(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
         at, end = self.start[slot], self.start[slot + 1]
@@ -263,6 +281,8 @@ class Lookup:
         at = at[open_]
         while len(open_):
             hit = self.keys[at] == keys[open_]
+            if self.more is not None:
+                hit &= self.more[at] == more[open_]
             out[open_[hit]] = at[hit]
             at = at + 1
             on = ~hit & (at < end[open_])
@@ -282,7 +302,7 @@ def _commonest(table: DataFrame, count: str, most: int) -> DataFrame:
     return table.filter((F.col(count) > 0) & (size >= F.lit(float(least))))
 
 
-def score(df: DataFrame, id: str = "doc_id", text: str = "text", depth: int = 5, fold: int = 5, held: int = 1, broadcast: int = BROADCAST) -> DataFrame:
+def score(df: DataFrame, id: str = "doc_id", text: str = "text", depth: int = 6, fold: int = 5, held: int = 1, broadcast: int = BROADCAST) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, bytes, bits_per_byte), one row per row of df.
 
     Training texts are those whose crc32 of the id as text, modulo `fold`, is not `held`. Null and empty texts have one
@@ -292,24 +312,24 @@ def score(df: DataFrame, id: str = "doc_id", text: str = "text", depth: int = 5,
     """
     spark = df.sparkSession
     texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"), (F.crc32(F.coalesce(F.col(id).cast("string"), F.lit("")).cast("binary")) % fold != held).alias("train"))
-    counted = texts.select("text", "train").mapInArrow(_counter(depth), "kind byte, key long, trained long, total long")
-    counts = common.stored(counted.groupBy("kind", "key").agg(F.sum("trained").alias("trained"), F.sum("total").alias("total")), "counts")
-    words = counts.filter("kind = 1 AND trained > 0").select("key", F.col("trained").alias("c"))
+    counted = texts.select("text", "train").mapInArrow(common.frugal(_counter(depth)), "kind byte, key long, key2 long, trained long, total long")
+    counts = common.stored(counted.groupBy("kind", "key", "key2").agg(F.sum("trained").alias("trained"), F.sum("total").alias("total")), "counts")
+    words = counts.filter("kind = 1 AND trained > 0").select("key", "key2", F.col("trained").alias("c"))
     n, v = (x or 0 for x in words.agg(F.sum("c"), F.count("*")).first())
     base = lambda c: math.log10((c + 0.5) / (n + 0.5 * (v + 1)))
     values = common.stored(gram_values(counts.filter("kind = 0").select("key", "trained"), depth).join(counts.filter("kind = 0").select("key", "total"), "key"), "values")
 
-    def sent(table, count, value, most):
-        t = _commonest(table, count, most).select("key", value).toArrow()
-        return spark.sparkContext.broadcast((t.column(0).to_numpy().view(np.uint64), t.column(1).to_numpy()))
+    def sent(table, count, value, most, *more):
+        t = _commonest(table, count, most).select("key", value, *more).toArrow()
+        return spark.sparkContext.broadcast((t.column(0).to_numpy().view(np.uint64), t.column(1).to_numpy(), *(t.column(2).to_numpy().view(np.uint64) for _ in more)))
 
     # a fixed part of the words, so that as much is left to join at every size
-    hot_grams, hot_words = sent(values, "total", "value", broadcast), sent(words, "c", "c", min(broadcast, v // 8))
+    hot_grams, hot_words = sent(values, "total", "value", broadcast), sent(words, "c", "c", min(broadcast, v // 8), "key2")
 
     def run(batches):
         grams, known = Lookup(*hot_grams.value), Lookup(*hot_words.value)
         worth = np.log10((known.values + 0.5) / (n + 0.5 * (v + 1)))
-        end = int(known.find(np.zeros(1, np.uint64))[0])
+        end = int(known.find(*(np.full(1, k, np.uint64) for k in END_KEY))[0])
         for b in batches:
             for at, texts in _slices(b, 2):
                 s = Stream(texts, depth)
@@ -317,30 +337,31 @@ def score(df: DataFrame, id: str = "doc_id", text: str = "text", depth: int = 5,
                 g = grams.find(s.grams)
                 found = g >= 0
                 tree = np.bincount(s.text_of_gram[found], grams.values[g[found]], k)
-                w = known.find(s.words)
+                w = known.find(s.words, s.words2)
                 hit = w >= 0
                 line = np.bincount(s.text_of_word[hit], worth[w[hit]], k) + (worth[end] if end >= 0 else 0)
                 tokens = np.bincount(s.text_of_word, minlength=k) + 1
                 n_known = np.bincount(s.text_of_word[hit], minlength=k) + (end >= 0)
-                late_words = _lists(s.text_of_word[~hit], s.words[~hit], k)
+                whose, late, late2 = s.text_of_word[~hit], s.words[~hit], s.words2[~hit]
                 if end < 0:
-                    late_words = _lists(np.concatenate([s.text_of_word[~hit], np.arange(k)]), np.concatenate([s.words[~hit], np.zeros(k, np.uint64)]), k)
+                    whose, late, late2 = np.append(whose, np.arange(k)), np.append(late, np.full(k, END_KEY[0], np.uint64)), np.append(late2, np.full(k, END_KEY[1], np.uint64))
+                late_words, late_words2 = _lists(whose, late, k), _lists(whose, late2, k)
                 late_grams = _lists(s.text_of_gram[~found], s.grams[~found], k)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, k), b.column(1).slice(at, k), pa.array(tokens.astype(np.int64)), pa.array(n_known.astype(np.int64)), pa.array(line.astype(float)), pa.array(tree.astype(float)), pa.array(s.lengths), late_words, late_grams],
-                    ["id", "train", "n_tokens", "n_known", "line", "tree", "bytes", "late_words", "late_grams"],
+                    [b.column(0).slice(at, k), b.column(1).slice(at, k), pa.array(tokens.astype(np.int64)), pa.array(n_known.astype(np.int64)), pa.array(line.astype(float)), pa.array(tree.astype(float)), pa.array(s.lengths), late_words, late_words2, late_grams],
+                    ["id", "train", "n_tokens", "n_known", "line", "tree", "bytes", "late_words", "late_words2", "late_grams"],
                 )
 
-    scored = texts.select("id", "train", "text").mapInArrow(run, "id long, train boolean, n_tokens long, n_known long, line double, tree double, bytes long, late_words array<long>, late_grams array<long>")
+    scored = texts.select("id", "train", "text").mapInArrow(common.frugal(run), "id long, train boolean, n_tokens long, n_known long, line double, tree double, bytes long, late_words array<long>, late_words2 array<long>, late_grams array<long>")
     scored = common.stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    late_w = scored.select("row", F.explode("late_words").alias("key")).groupBy("row", "key").agg(F.count("*").alias("n"))
-    late_w = late_w.join(words, "key", "left").select("row", F.when(F.col("c").isNull(), 0).otherwise(F.col("n")).alias("k"), (F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(n + 0.5 * (v + 1)))).alias("l"), F.lit(0.0).alias("t"))
+    late_w = scored.select("row", F.explode(F.arrays_zip(F.col("late_words").alias("key"), F.col("late_words2").alias("key2"))).alias("w")).select("row", "w.key", "w.key2").groupBy("row", "key", "key2").agg(F.count("*").alias("n"))
+    late_w = late_w.join(words, ["key", "key2"], "left").select("row", F.when(F.col("c").isNull(), 0).otherwise(F.col("n")).alias("k"), (F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(n + 0.5 * (v + 1)))).alias("l"), F.lit(0.0).alias("t"))
     late_g = scored.select("row", F.explode("late_grams").alias("key")).groupBy("row", "key").agg(F.count("*").alias("n"))
     late_g = late_g.join(values.select("key", "value"), "key").select("row", F.lit(0).cast("long").alias("k"), F.lit(0.0).alias("l"), (F.col("n") * F.col("value")).alias("t"))
     late = late_w.union(late_g).groupBy("row").agg(F.sum("k").alias("k"), F.sum("l").alias("l"), F.sum("t").alias("t"))
     none = F.lit(0)
     total = F.col("tree") + F.coalesce("t", none)
-    return scored.drop("late_words", "late_grams").join(late, "row", "left").select(
+    return scored.drop("late_words", "late_words2", "late_grams").join(late, "row", "left").select(
         "id", (~F.col("train")).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("k", none)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("line") + F.coalesce("l", none)).alias("base_score"), total.alias("score"), "bytes", (-total / F.col("bytes") / F.lit(math.log10(2))).alias("bits_per_byte"),
     )
