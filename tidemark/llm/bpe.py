@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Bounds of what a worker remembers; past them it starts anew. They change speed only.
-PIECES, PAIRS, HEADS = 600_000, 1_000_000, 200_000
+PIECES, PAIRS, HEADS = 400_000, 600_000, 100_000
 #: Lengths of the beginnings whose tables are kept for the next piece that begins so.
 KEPT = (12, 9, 6)
 #: Bytes of text whose encoding goes into one output batch, at least one document.
@@ -54,7 +54,7 @@ class Bpe:
         #: By its last three bytes (fewer at the start), how long a token there can be, longest first.
         self.lengths = {e: sorted(set().union(n, *({k for k in ending.get(e[i:], ()) if k == len(e) - i} for i in range(1, len(e)))), reverse=True) for e, n in ending.items()}
         self.spines: dict[tuple[int, bool], list[tuple[bytes, float]]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by the left token's id above the right one's
         self.heads: dict[bytes, tuple[int, ...]] = {}
         self.memo = _Memo(self)
 
@@ -71,11 +71,12 @@ class Bpe:
         return [self.ranks[data[a:b]] for a, b in zip(cuts, cuts[1:])]
 
     def fit(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
+        pair = left << 32 | right
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._apart(left, right)
+            known = self.pairs[pair] = self._apart(left, right)
         return known
 
     def _spine(self, token: int, right: bool) -> list[tuple[bytes, float]]:
@@ -132,7 +133,7 @@ class Bpe:
                 t = get(data[s:k])
                 if t is None:
                     continue
-                if s == 0 or pairs.get(p := (last[s - 1], t), None) or p not in pairs and fit(*p):
+                if s == 0 or pairs.get(p := last[s - 1] << 32 | t) or p not in pairs and fit(last[s - 1], t):
                     last.append(t)
                     break
             else:
@@ -255,7 +256,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(start, stop - start), lists, pa.array(decoded, pa.binary())], ["id", "ids", "decoded"])
                 start = stop
 
-    return df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "id long, ids array<int>, decoded binary")
+    return df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(common.frugal(run), "id long, ids array<int>, decoded binary")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

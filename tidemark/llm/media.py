@@ -27,7 +27,6 @@ DEEPEST = 32
 SIDE = 8
 UNIT = SIDE * SIDE * 3
 FRAME_RATE, KEY_EVERY, PER_CHUNK = 25, 16, 64
-BATCH_BYTES = 8 << 20
 
 
 def boxes(data) -> Iterator[tuple[tuple[bytes, ...], int, int, int]]:
@@ -281,29 +280,16 @@ def samples(data, track: Track) -> bytes:
     return b"".join(bytes(data[a:b]) for a, b in zip(track.offsets[np.concatenate([[0], cut])], ends[np.concatenate([cut - 1, [-1]])]))
 
 
-def _sliced(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with at most about BATCH_BYTES in one column, at least a row each."""
-    start = size = 0
-    for k, x in enumerate(batch.column(column)):
-        n = x.as_buffer().size if x.is_valid else 0
-        if k > start and size + n > BATCH_BYTES:
-            yield batch.slice(start, k - start)
-            start, size = k, 0
-        size += n
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def store_texts(df: DataFrame, id: str = "doc_id", text: str = "text", media: str = "media") -> DataFrame:
     """(id, n_bytes, media): each whole text, padded, as a container. Null texts are empty ones; rows are kept one by one."""
 
     def run(batches):
         for b in batches:
-            for part in _sliced(b, 1):
+            for part in common.sliced(b, 1):
                 texts = common.utf8(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([build(pad(t)) for t in texts], pa.binary())], ["id", "n_bytes", media])
 
-    return df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"id long, n_bytes long, {media} binary")
+    return df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(common.frugal(run), f"id long, n_bytes long, {media} binary")
 
 
 _TRACKS = "array<struct<codec: string, handler: string, timescale: bigint, duration: bigint, n_samples: bigint, keyframes: array<struct<sample: bigint, time: bigint, offset: bigint, size: bigint>>>>"
@@ -322,7 +308,7 @@ def index_media(df: DataFrame, media: str = "media") -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for part in _sliced(b, at):
+            for part in common.sliced(b, at):
                 found, problems = [], []
                 for x in part.column(at):
                     try:
@@ -333,7 +319,7 @@ def index_media(df: DataFrame, media: str = "media") -> DataFrame:
                         problems.append(str(e) or type(e).__name__)
                 yield part.append_column("tracks", pa.array(found, _KIND)).append_column("problem", pa.array(problems, pa.string()))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(common.frugal(run), schema)
 
 
 def _row(t: Track) -> dict:
@@ -354,7 +340,7 @@ def read_back(df: DataFrame, media: str = "media") -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for part in _sliced(b, at):
+            for part in common.sliced(b, at):
                 payloads, features, told = [], [], []
                 for x in part.column(at):
                     data = memoryview(x.as_buffer())
@@ -364,7 +350,7 @@ def read_back(df: DataFrame, media: str = "media") -> DataFrame:
                     told.append([_row(track)])
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("n_bytes"), pa.array(payloads, pa.binary()), part.column(at), pa.array(features, pa.string()), pa.array(told, _KIND)], ["id", "n_bytes", "payload", media, "feature", "tracks"])
 
-    return df.mapInArrow(run, f"id long, n_bytes long, payload binary, {media} binary, feature string, tracks {_TRACKS}")
+    return df.mapInArrow(common.frugal(run), f"id long, n_bytes long, payload binary, {media} binary, feature string, tracks {_TRACKS}")
 
 
 def op1_media(spark, sf_dir: str) -> DataFrame:

@@ -144,7 +144,7 @@ def write(df: DataFrame, folder: str, id: str = "page_id", url: str = "url", pay
     told = rows.join(seen, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("d") == F.col("e"))).select("page_id", "url", "html", "refers_to", F.col("refers_to").isNotNull().alias("revisit"))
     store, top = fs.FileSystem.from_uri(folder)
     store.create_dir(top)
-    return common.stored(told.mapInArrow(_writer(folder), INDEX), "index")
+    return common.stored(told.mapInArrow(common.frugal(_writer(folder)), INDEX), "index")
 
 
 def _reads(rows: Iterable[tuple[str, int, int]]) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
@@ -182,7 +182,7 @@ def read(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
 
     blocks = index.select("archive", "offset", "length", F.floor(F.col("offset") / BLOCK_BYTES).alias("block"))
     dealt = blocks.repartition(common.parts(spark), "archive", "block").sortWithinPartitions("archive", "offset")
-    return dealt.select("archive", "offset", "length").mapInArrow(run, _RECORD)
+    return dealt.select("archive", "offset", "length").mapInArrow(common.frugal(run), _RECORD)
 
 
 _SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
