@@ -137,11 +137,12 @@ def write(df: DataFrame, folder: str, id: str = "page_id", url: str = "url", pay
     text = F.coalesce(F.col(payload).cast("string"), F.lit(""))
     rows = df.select(F.col(id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), text.alias("html")).withColumn("d", F.sha1("html"))
     keys = common.stored(rows.select("page_id", "d", F.octet_length("html").alias("n")), "payloads")
-    first = keys.groupBy("d").agg(F.min("page_id").alias("first"))
-    again = (F.col("n") >= least) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    seen = keys.select("page_id", "d", "n").distinct().join(first, "d").select(F.col("page_id").alias("p"), F.col("d").alias("e"), F.when(again, F.col("first")).alias("refers_to"))
-    # by id and payload: an id is one row, so no payload's copies meet
-    told = rows.join(seen, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("d") == F.col("e"))).select("page_id", "url", "html", "refers_to", F.col("refers_to").isNotNull().alias("revisit"))
+    # only payloads that occur again are joined, and the copies of one are dealt to several tasks
+    first = keys.groupBy("d").agg(F.min("page_id").alias("first"), F.count("*").alias("times")).filter("times > 1 AND first IS NOT NULL").select("d", "first")
+    again = common.salted(keys.filter(F.col("n") >= least).select("page_id", "d").distinct(), first, "d", "page_id", "inner").filter(~F.col("page_id").eqNullSafe(F.col("first")))
+    again = common.stored(again.select(F.col("page_id").alias("p"), F.col("d").alias("e"), F.col("first").alias("refers_to")), "again")
+    same = F.col("page_id").eqNullSafe(F.col("p")) & (F.col("d") == F.col("e"))
+    told = rows.join(common.small(again), same, "left").select("page_id", "url", "html", "refers_to", F.col("refers_to").isNotNull().alias("revisit"))
     store, top = fs.FileSystem.from_uri(folder)
     store.create_dir(top)
     return common.stored(told.mapInArrow(common.frugal(_writer(folder)), INDEX), "index")
