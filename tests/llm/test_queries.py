@@ -75,8 +75,8 @@ def plain_targets(sizes):
     return out
 
 
-@pytest.mark.parametrize("sf", [SF, SF10])
-def test_op2(spark, sf):
+@pytest.mark.parametrize("sf, share", [(SF, 0.05), (SF10, 0.001)])  # ten documents a source, then fifty
+def test_op2(spark, sf, share):
     texts = docs(spark, sf)
     size = {i: len(WORD.findall((r.text or "").encode())) for i, r in texts.items()}
     per = collections.Counter()
@@ -84,16 +84,14 @@ def test_op2(spark, sf):
         per[r.source] += size[i]
     want, got = plain_targets(per), QUERIES["op2_mixing"](spark, sf).collect()
     assert sorted(r.doc_id for r in got) == sorted(texts)
-    taken, whole = collections.Counter(), collections.defaultdict(list)
+    taken = collections.Counter()
     for r in got:
         s = texts[r.doc_id].source
         assert (r.size, r.source_size) == (size[r.doc_id], per[s]) and r.target == pytest.approx(want[s])
         assert 0 <= r.taken <= 3 * r.size and (r.size == 0 or r.taken % r.size == 0)
         taken[s] += r.taken
-        whole[s].append(r.size)
     for s, aim in want.items():
-        # nearer than a short document of the source, or than one in two hundred of its words
-        assert abs(taken[s] - aim) <= max(aim / 200, sorted(x for x in whole[s] if x)[len(whole[s]) // 10]), (s, taken[s], aim)
+        assert abs(taken[s] - aim) <= max(1, aim * share), (s, taken[s], aim)
     again = QUERIES["op2_mixing"](spark, sf).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, again), key=repr)
 

@@ -118,13 +118,16 @@ def _turned(settled: DataFrame, seed: int) -> DataFrame:
     now = some.groupBy("source").agg(F.array_sort(F.collect_list(one)).alias("rest"), F.first("gap").alias("left")).withColumn("taken", F.filter("rest", lambda u: F.lit(False)))
     fits = lambda u, left: (F.signum(u["e"].cast("double")) == F.signum(left)) & (F.abs(u["e"]) <= F.abs(left))
     step = lambda a, u: F.when(fits(u, a["left"]), F.struct((a["left"] - u["e"]).alias("left"), F.concat(a["taken"], F.array(u)).alias("taken"))).otherwise(a)
-    for _ in range(2):
-        now = now.withColumn("s", F.aggregate("rest", F.struct("left", "taken"), step)).select("source", "s.left", "s.taken", F.array_except("rest", "s.taken").alias("rest"))
-        few = F.slice(F.array_sort(F.transform("rest", lambda u: F.struct(u["draw"].alias("draw"), u.alias("u")))), 1, SWAPS)
-        pairs = F.flatten(F.transform(few, lambda a: F.transform(few, lambda b: F.struct(F.abs(F.col("left") - a["u"]["e"] - F.when(a["u"] == b["u"], 0).otherwise(b["u"]["e"])).alias("open"), F.array_distinct(F.array(a["u"], b["u"])).alias("us")))))
-        now = now.withColumn("best", F.array_min(pairs))
-        turned = F.when(F.col("best.open") < F.abs("left"), F.col("best.us")).otherwise(F.filter("rest", lambda u: F.lit(False)))
-        now = now.withColumn("turned", turned).select("source", F.aggregate("turned", F.col("left"), lambda a, u: a - u["e"]).alias("left"), F.concat("taken", "turned").alias("taken"), F.array_except("rest", "turned").alias("rest"))
+    none = F.filter("rest", lambda u: F.lit(False))
+    for _ in range(2):  # one row a source; each step is stored, or else the next would work it out again at every mention
+        now = common.stored(now.select("source", "rest", F.aggregate("rest", F.struct("left", "taken"), step).alias("s")), "gaps")
+        now = now.select("source", "s.left", "s.taken", F.array_except("rest", "s.taken").alias("rest"))
+        now = common.stored(now.withColumn("few", F.slice(F.array_sort(F.transform("rest", lambda u: F.struct(u["draw"].alias("draw"), u.alias("u")))), 1, SWAPS)), "gaps")
+        pairs = F.flatten(F.transform("few", lambda a: F.transform("few", lambda b: F.struct(F.abs(F.col("left") - a["u"]["e"] - F.when(a["draw"] == b["draw"], 0).otherwise(b["u"]["e"])).alias("open"), a["u"].alias("a"), b["u"].alias("b")))))
+        now = common.stored(now.select("source", "left", "taken", "rest", F.array_min(pairs).alias("best")), "gaps")
+        turned = F.when(F.col("best.open") < F.abs("left"), F.array_distinct(F.array("best.a", "best.b"))).otherwise(none)
+        now = common.stored(now.select("source", "left", "taken", "rest", turned.alias("turned")), "gaps")
+        now = now.select("source", F.aggregate("turned", F.col("left"), lambda a, u: a - u["e"]).alias("left"), F.concat("taken", "turned").alias("taken"), F.array_except("rest", "turned").alias("rest"))
     taken = now.select("source", F.explode("taken").alias("u"))
     return taken.select(F.col("source").alias("t_source"), F.col("u.id").alias("t_id"), F.col("u.size").alias("t_size"), F.lit(True).alias("turn"))
 
