@@ -18,6 +18,8 @@ from . import common
 
 #: How many documents of a source, about, are looked through for some that fill its last gap.
 FILLERS = 2000
+#: How many of a source's largest units are tried, one at a time, on the other side.
+FIRST = 8
 #: Of how many units any two may be turned at once.
 SWAPS = 64
 WORD = r"[^\x20\x09-\x0D]+"
@@ -106,7 +108,8 @@ def _turned(settled: DataFrame, seed: int) -> DataFrame:
     """(id, source, size) of the units to turn over so that each source's words come nearest to its target.
 
     Looked through are about FILLERS units of a source, drawn by hash. Twice, those that close the gap are turned by falling
-    size as long as they fit, and then the one or two, of SWAPS units, that leave the least of it, in either direction.
+    size as long as they fit, as the gap is or would be with one of the FIRST largest turned over before, whichever leaves
+    less, and then the one or two, of SWAPS units, that leave the least of it, in either direction.
     """
     weight = F.col("size") * F.col("m")
     got = settled.groupBy("source").agg(F.sum((F.col("whole") + F.col("up").cast("long")) * weight).alias("got"), F.first("target").alias("aim"), F.count("*").alias("n"))
@@ -120,7 +123,11 @@ def _turned(settled: DataFrame, seed: int) -> DataFrame:
     step = lambda a, u: F.when(fits(u, a["left"]), F.struct((a["left"] - u["e"]).alias("left"), F.concat(a["taken"], F.array(u)).alias("taken"))).otherwise(a)
     none = F.filter("rest", lambda u: F.lit(False))
     for _ in range(2):  # one row a source; each step is stored, or else the next would work it out again at every mention
-        now = common.stored(now.select("source", "rest", F.aggregate("rest", F.struct("left", "taken"), step).alias("s")), "gaps")
+        plain = F.aggregate("rest", F.struct(F.col("left").alias("left"), F.col("taken").alias("taken")), step)
+        begun = lambda u: F.struct((F.col("left") - u["e"]).alias("left"), F.concat("taken", F.array(u)).alias("taken"))
+        other = F.transform(F.slice("rest", 1, FIRST), lambda u: F.aggregate(F.filter("rest", lambda x: x["draw"] != u["draw"]), begun(u), step))
+        ranked = F.transform(F.concat(F.array(plain), other), lambda x: F.struct(F.abs(x["left"]).alias("open"), x["left"].alias("left"), x["taken"].alias("taken")))
+        now = common.stored(now.select("source", "rest", F.array_min(ranked).alias("s")), "gaps")
         now = now.select("source", "s.left", "s.taken", F.array_except("rest", "s.taken").alias("rest"))
         now = common.stored(now.withColumn("few", F.slice(F.array_sort(F.transform("rest", lambda u: F.struct(u["draw"].alias("draw"), u.alias("u")))), 1, SWAPS)), "gaps")
         pairs = F.flatten(F.transform("few", lambda a: F.transform("few", lambda b: F.struct(F.abs(F.col("left") - a["u"]["e"] - F.when(a["draw"] == b["draw"], 0).otherwise(b["u"]["e"])).alias("open"), a["u"].alias("a"), b["u"].alias("b")))))
