@@ -262,7 +262,7 @@ def common_shingles(df: DataFrame, text: str, words: int, sample: int = 4_000, l
 
 
 #: A text's shingle set as parity bits: about one bit a shingle, within these bounds; NEAR_BITS at most go along to buckets.
-LEAST_BITS, MOST_BITS, NEAR_BITS = 64, 2048, 512
+LEAST_BITS, MOST_BITS, NEAR_BITS = 64, 1 << 17, 512
 #: Tokens that one task looks through for those which several texts have.
 ENTRIES = 1_000_000
 #: Members of a bucket that meet in one task; of a larger one, pairs of parts do.
