@@ -24,7 +24,7 @@ from . import common
 END = 10  # a line feed: no byte of a word, and not the space between words
 SLICE_BYTES = 2 << 20
 #: Distinct keys that a counting task holds before it hands them on.
-HELD_KEYS = 2_000_000
+HELD_KEYS = 1_500_000
 #: Most entries of each kind that are broadcast, at 16 bytes: 32 MB. The others are joined.
 BROADCAST = 1 << 21
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -302,7 +302,7 @@ def _commonest(table: DataFrame, count: str, most: int) -> DataFrame:
     return table.filter((F.col(count) > 0) & (size >= F.lit(float(least))))
 
 
-def score(df: DataFrame, id: str = "doc_id", text: str = "text", depth: int = 6, fold: int = 5, held: int = 1, broadcast: int = BROADCAST) -> DataFrame:
+def score(df: DataFrame, id: str = "doc_id", text: str = "text", depth: int = 5, fold: int = 5, held: int = 1, broadcast: int = BROADCAST) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, bytes, bits_per_byte), one row per row of df.
 
     Training texts are those whose crc32 of the id as text, modulo `fold`, is not `held`. Null and empty texts have one
