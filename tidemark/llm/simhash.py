@@ -482,10 +482,11 @@ def similar(df: DataFrame, id: str = "doc_id", text: str = "text", words: int =
     ids = common.stored(prints.select("id", "set"), "ids")
     common.dropped(prints)
 
-    lead = classes.groupBy("fp").agg(F.min("key").alias("lead"))
-    hops = fingerprint_links(lead.select("fp"), bits).select(F.col("a").alias("fp"), F.col("b").alias("other"))
-    hops = hops.join(lead, "fp").select(F.col("other").alias("fp"), F.col("lead").alias("u")).join(lead, "fp").select("u", F.col("lead").alias("v"))
-    same = classes.select("key", "fp").join(lead, "fp").filter("key <> lead").select(F.col("lead").alias("u"), F.col("key").alias("v"))
+    lead = common.stored(classes.groupBy("fp").agg(F.min("key").alias("lead"), F.count("*").alias("sets")), "lead")
+    hops = common.stored(fingerprint_links(lead.select("fp"), bits).select(F.col("a").alias("fp"), F.col("b").alias("other")), "hops")
+    hops = common.stored(lead.select("fp", "lead").join(common.small(hops), "fp").select(F.col("other").alias("fp"), F.col("lead").alias("u")), "hops")
+    hops = lead.select("fp", "lead").join(common.small(hops), "fp").select("u", F.col("lead").alias("v"))
+    same = common.salted(classes.select("key", "fp"), lead.filter("sets > 1").select("fp", "lead"), "fp", "key", "inner").filter("key <> lead").select(F.col("lead").alias("u"), F.col("key").alias("v"))
     seen = common.stored(hops.union(same).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "offered")
     links = _checked(seen, classes, texts, words)
 
