@@ -293,3 +293,12 @@ def test_long_caption_blocks_are_whole(spark):
 
 def test_number_words_are_whole_words(spark):
     assert set(one(spark, T.numbers, "One, stone; twenty-one _two (five) tenfold six")) == {"1", "20", "5", "6"}
+
+
+def test_pictures_are_read_from_files(spark, tmp_path):
+    images = [np.arange(12).reshape(3, 4) * 20, np.arange(12).reshape(3, 4)[::-1] * 3]
+    for k, x in enumerate(images):
+        (tmp_path / "v").mkdir(exist_ok=True)
+        (tmp_path / "v" / f"f{k + 1:06d}.png").write_bytes(px.png(x))
+    got = px.read_frames(spark, f"{tmp_path}/v", "f*.png").orderBy("idx").collect()
+    assert [(r.idx, r.t, r.height, list(r.grey)) for r in got] == [(k + 1, 2 * k, 3, x.ravel().tolist()) for k, x in enumerate(images)]
