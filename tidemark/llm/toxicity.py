@@ -300,10 +300,12 @@ def fold(id) -> F.Column:
 def trained(docs: DataFrame, labels: DataFrame, most_texts: int = 200_000) -> Model:
     """A model for documents (doc_id, text) from labels (doc_id, toxic), without those of the held-out fold.
 
-    At most about `most_texts` labels are used, chosen by a hash of the id. These ids, a few megabytes, are broadcast,
-    so texts are not shuffled; the labelled texts are then written once to the shared folder.
+    A document with several labels counts once, as toxic if any says so. At most about `most_texts` labels are used, chosen
+    by a hash of the id. These ids, a few megabytes, are broadcast, so texts are not shuffled; the labelled texts are then
+    written once to the shared folder.
     """
     known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(fold(F.col("doc_id")) != HELD)
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = known.count()
     if n > most_texts:
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most_texts / n))
