@@ -127,9 +127,9 @@ def log_odds(texts: DataFrame, alpha: float | None = None, least: float = 2.0, s
     """Features' log-odds against the overall rate, from labelled texts (text, toxic: 0 or 1).
 
     A feature counts once a text. alpha is the priors' weight in texts, a quarter of the toxic texts between 2 and 20 if it
-    is not given. A feature that differs from what its prefix says by less than `shift`, or that speaks for toxicity by less
-    than `least` standard errors of its own, says what the prefix says, and so needs no entry. All others are in the
-    model, which the bounded number of labelled texts bounds.
+    is not given. A feature that differs from what its prefix says by less than `shift`, or that speaks for toxicity against
+    a clean prefix by less than `least` standard errors of its own, says what the prefix says, and so needs no entry. All
+    others are in the model, which the bounded number of labelled texts bounds.
     """
     n = {r.toxic: r.n for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
@@ -153,7 +153,8 @@ def log_odds(texts: DataFrame, alpha: float | None = None, least: float = 2.0, s
     # the variance of a posterior log-odds, from its counts with the prior's
     error = F.sqrt(1 / (F.col("toxic") + F.lit(alpha) * F.col("prior")) + 1 / (F.col("clean") + F.lit(alpha) * (1 - F.col("prior"))))
     gain = logit("p") - logit("prior")
-    kept = every.filter((gain <= -shift) | (gain >= F.greatest(F.lit(shift), F.lit(least) * error)))
+    sure = (F.col("prior") > 0.5) | (gain >= F.lit(least) * error)
+    kept = every.filter((gain <= -shift) | ((gain >= shift) & sure))
     return {r.feature: r.odds for r in kept.select("feature", (logit("p") - F.lit(math.log(rate / (1 - rate)))).alias("odds")).collect()}
 
 
