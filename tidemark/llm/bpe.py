@@ -26,7 +26,7 @@ PIECES, PAIRS, HEADS = 400_000, 600_000, 100_000
 #: Lengths of the beginnings whose tables are kept for the next piece that begins so.
 KEPT = (12, 9, 6)
 #: Bytes of text whose encoding goes into one output batch, at least one document.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -233,6 +233,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_
     are. Other columns are not looked at.
     """
     spark = df.sparkSession
+    common.small_batches(spark)
     sent, key = spark.sparkContext.broadcast(ranks), uuid.uuid4().hex
 
     def run(batches):

@@ -40,8 +40,17 @@ def _store(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB instead of Spark's 64, unless the session asks for another size: with long texts two
+    tasks of an executor otherwise hold some hundred MB of them, in the JVM and in Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) == "67108864b":
+        spark.conf.set(key, "8m")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, deleted when the session's JVM ends if nothing deletes it before."""
+    small_batches(spark)
     path = f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
     store, at = _store(spark, path)
     store.deleteOnExit(at)

@@ -289,6 +289,7 @@ def store_texts(df: DataFrame, id: str = "doc_id", text: str = "text", media: st
                 texts = common.utf8(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([build(pad(t)) for t in texts], pa.binary())], ["id", "n_bytes", media])
 
+    common.small_batches(df.sparkSession)
     return df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(common.frugal(run), f"id long, n_bytes long, {media} binary")
 
 
