@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Bounds of what a worker remembers; past them it starts anew. They change speed only.
-PIECES, PAIRS, HEADS = 400_000, 600_000, 100_000
+PIECES, PAIRS, HEADS = 350_000, 350_000, 60_000
 #: Lengths of the beginnings whose tables are kept for the next piece that begins so.
 KEPT = (12, 9, 6)
 #: Bytes of text whose encoding goes into one output batch, at least one document.
