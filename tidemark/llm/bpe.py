@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Bounds of what a worker remembers; past them it starts anew. They change speed only.
-PIECES, PAIRS, HEADS = 350_000, 350_000, 60_000
+#: How many pieces, and how many pairs of tokens, a worker remembers (beginnings: a sixth); past that it starts anew.
+PIECES = 600_000
 #: Lengths of the beginnings whose tables are kept for the next piece that begins so.
 KEPT = (12, 9, 6)
 #: Bytes of text whose encoding goes into one output batch, at least one document.
@@ -42,7 +42,8 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
 class Bpe:
     """Encoder and decoder for one vocabulary, whose every token must be what its own bytes merge to."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, pieces: int = PIECES):
+        self.pieces = pieces
         # \s of the rank files' library is the Unicode property; this one's would add \x1c to \x1f
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.ranks, self.tokens = ranks, {i: b for b, i in ranks.items()}
@@ -74,7 +75,7 @@ class Bpe:
         pair = left << 32 | right
         known = self.pairs.get(pair)
         if known is None:
-            if len(self.pairs) >= PAIRS:
+            if len(self.pairs) >= self.pieces:
                 self.pairs.clear()
             known = self.pairs[pair] = self._apart(left, right)
         return known
@@ -160,7 +161,7 @@ class Bpe:
         self.extend(data, last)
         for n in KEPT:
             if begun < n < len(data):
-                if len(self.heads) >= HEADS:
+                if len(self.heads) >= self.pieces // 6:
                     self.heads.clear()
                 self.heads[data[:n]] = tuple(last[:n])
         return self.back(last)
@@ -181,7 +182,7 @@ class _Memo(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = np.array(self.bpe.piece(piece.encode()), dtype="<i4").tobytes()
         if len(piece) <= 256:
-            if len(self) >= PIECES:
+            if len(self) >= self.bpe.pieces:
                 self.clear()
             self[piece] = ids
         return ids
@@ -226,11 +227,11 @@ class Piece:
 _AT: dict[str, Bpe] = {}
 
 
-def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text", pieces: int = PIECES) -> DataFrame:
     """(id, ids, decoded): each text's token ids, and the bytes that these ids decode to.
 
     Whole texts; a null or empty one has no ids and decodes to no bytes. Repeated rows and null ids are kept as they
-    are. Other columns are not looked at.
+    are. Other columns are not looked at. A worker remembers up to `pieces` pieces, some 150 bytes each.
     """
     spark = df.sparkSession
     common.small_batches(spark)
@@ -240,7 +241,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_
         bpe = _AT.get(key)
         if bpe is None:
             _AT.clear()
-            bpe = _AT[key] = Bpe(sent.value, pattern)
+            bpe = _AT[key] = Bpe(sent.value, pattern, pieces)
         for b in batches:
             texts = b.column(1)
             start = 0
