@@ -10,7 +10,7 @@ from tidemark.operators import intervals as iv
 from tidemark.operators import notes as nt
 from tidemark.operators import speech as sp
 from tidemark.operators import store as st
-from tidemark.plans.registry import QUERIES, oracles, query
+from tidemark.plans.registry import QUERIES, oracles, query, rounded
 from tidemark.plans.select import select_frames
 from tidemark.sources import signals, transcripts
 
@@ -173,7 +173,7 @@ SELECT video_id, round(still, 6) AS still, round(micro, 6) AS micro, round(churn
 def still_profile(x):
     steps = x("steps")
     camera = steps.select("video_id", (F.col("video_id") % 3 != 0).alias("static")).distinct()
-    r = lambda c: F.round(c, 6).alias(c)
+    r = lambda c: rounded(c, 6).alias(c)
     return fr.still_profile(steps, camera).select("video_id", r("still"), r("micro"), r("churn"), r("cuts_min"), "median", "tier", F.col("cut").cast("long"), F.col("settle").cast("long"))
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.plans.fixtures import duckdb, fixture
 
@@ -30,3 +31,11 @@ def query(sql: str | None = None):
 
 def oracles() -> dict[str, str]:
     return {n: duckdb(s) for n, s in SQL.items()}
+
+
+def rounded(c: str, digits: int) -> Column:
+    """A column of doubles rounded as the SQL's round does it: the scaled double's half goes away from zero. Spark's own
+    rounds the shortest decimal instead, which is another number where the scaled double is just below a half."""
+    scale = 10.0**digits
+    x = F.abs(F.col(c)) * scale
+    return F.signum(c) * (F.floor(x) + F.when(x - F.floor(x) >= 0.5, 1.0).otherwise(0.0)) / scale
