@@ -12,6 +12,7 @@ from tidemark.plans import queries as timeline
 def both(spark, tmp_path, name, **tables):
     """The rows of a query and of its SQL, unrounded."""
     con = duckdb.connect()
+    tmp_path.mkdir(exist_ok=True)
     for t, table in tables.items():
         pq.write_table(table, tmp_path / f"{t}.parquet")
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
@@ -30,3 +31,12 @@ def test_shares_halfway_between_two_millionths(spark, tmp_path):
     })
     got, want = both(spark, tmp_path, "still_profile", events=events)
     assert len(got) == 3 and got == want
+
+
+def test_components_are_scaled_in_their_own_width(spark, tmp_path):
+    # 0.196 as a float is below 0.196, yet its product with 1000 is 196 in floats
+    values = [[(-0.196 if (i + k) % 5 == 0 else 0.053 if (i + k) % 5 == 1 else (i * 37 + k * k * 11) % 251 / 1000) for k in range(64)] for i in range(6)]
+    embeddings = pa.table({"vec_id": pa.array(range(6), pa.int64()), "embedding": pa.array(values, pa.list_(pa.float32()))})
+    for name in ("picture_median", "picture_sharpness"):
+        got, want = both(spark, tmp_path / name, name, embeddings=embeddings)
+        assert len(got) >= 2 and got == want

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import pixels as px
-from tidemark.plans.registry import query
+from tidemark.plans.registry import query, rounded
 
 _PX = """px AS (SELECT video_id, idx, CAST(floor(n / 8) AS BIGINT) AS r, n % 8 AS c, CAST(CAST(floor(abs(e) * 1000) AS BIGINT) % 256 AS DOUBLE) AS v FROM (SELECT video_id, idx, unnest(embedding) AS e, unnest(range(len(embedding))) AS n FROM pictures) u)"""
 
@@ -19,7 +19,8 @@ def _sharp(source: str, key: str) -> str:
 
 
 def _pictures(x):
-    grey = F.transform("embedding", lambda e: (F.floor(F.abs(e.cast("double")) * 1000) % 256).cast("int"))
+    # in the components' own width, as the SQL: as floats 0.196 * 1000 is 196, as doubles of these floats just below
+    grey = F.transform("embedding", lambda e: (F.floor(F.abs(e) * F.lit(1000).cast("float")) % 256).cast("int"))
     return x("pictures").select("video_id", "idx", (F.col("idx") * 2).alias("t"), F.lit(8).alias("height"), grey.alias("grey"))
 
 
@@ -57,7 +58,7 @@ def picture_median(x):
     """The median over time around every frame."""
     p = _pictures(x)
     found = px.deocclude(p, p.select("video_id", F.col("t").cast("double").alias("at")), window=8)
-    return found.select("video_id", "at", "frames", F.round("ratio", 9).alias("ratio"), "accepted", F.array_join(F.col("grey").cast("array<string>"), " ").alias("grey"))
+    return found.select("video_id", "at", "frames", rounded("ratio", 9).alias("ratio"), "accepted", F.array_join(F.col("grey").cast("array<string>"), " ").alias("grey"))
 
 
 @query(f"""WITH {_PX}, k AS (SELECT video_id, CAST(count(DISTINCT idx) AS BIGINT) AS n FROM px GROUP BY video_id), f AS (SELECT video_id, idx, row_number() OVER (PARTITION BY video_id ORDER BY idx) - 1 AS z FROM (SELECT DISTINCT video_id, idx FROM px) d),
