@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from . import common
 
 END = 10  # a line feed: no byte of a word, and not the space between words
-SLICE_BYTES = 2 << 20
+#: Text worked on at once: some hundred bytes of arrays a byte.
+SLICE_BYTES = 1 << 19
 #: Distinct keys that a counting task holds before it hands them on.
-HELD_KEYS = 1_500_000
+HELD_KEYS = 800_000
 #: Most entries of each kind that are broadcast, at 16 bytes: 32 MB. The others are joined.
 BROADCAST = 1 << 21
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -203,7 +204,7 @@ class _Subtrees:
 
 #: Below this many context bytes, or more where they are too common, a subtree is worked on by one task.
 SPLIT = 3
-#: Most grams of one subtree, some 300 MB; with a whole context there are at most 256.
+#: Most grams of one subtree, some 600 MB; with a whole context there are at most 256.
 SUBTREE = 500_000
 
 
