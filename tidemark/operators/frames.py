@@ -57,6 +57,15 @@ def calibrate(frames: DataFrame) -> DataFrame:
     return cut.select("video_id", F.bround("c").cast("long").alias("cut"), F.bround(settle).cast("long").alias("settle"), F.bround(F.greatest(settle * 3, F.col("c") * 0.45)).cast("long").alias("cluster"))
 
 
+def _quantile(values: Column, q: float) -> Column:
+    """The q-quantile of sorted whole numbers, lo * (1 - d) + hi * d between two, of which only hi * d and the sum are
+    rounded: the last bit decides on which side of a whole number it is. The sum is taken in units of 2 ** -53, as longs."""
+    at, one = (F.size(values) - 1) * F.lit(q), F.lit(float(1 << 53))
+    lo, hi, d = F.get(values, F.floor(at).cast("int")), F.get(values, F.ceil(at).cast("int")), at - F.floor(at)
+    exact = (lo.cast("long") * ((1 - d) * one).cast("long") + (hi * d * one).cast("long")).cast("double") / one
+    return F.when(hi.between(0, 511) & lo.between(0, 511), exact).otherwise(lo * (1 - d) + hi * d)
+
+
 def still_profile(frames: DataFrame, camera: DataFrame | None = None, interval: float = 2.0) -> DataFrame:
     """One row per video: shares of still (<= 4), micro (4 to 20), churning (20 to 60) and cut (60 and more) steps, cuts a
     minute, median, suggested thresholds and the tier; camera: (video_id, static), static where unknown."""
@@ -66,8 +75,9 @@ def still_profile(frames: DataFrame, camera: DataFrame | None = None, interval:
     g = steps.groupBy("video_id").agg(
         share(nb <= 4).alias("still"), share((nb > 4) & (nb <= 20)).alias("micro"), share((nb > 20) & (nb < 60)).alias("churn"),
         F.count_if(nb >= 60).alias("cuts"), F.count("*").alias("steps"), F.median("nb").alias("median"),
-        F.expr("percentile(nb, 0.9)").alias("p90"), F.expr("percentile(nb, 0.25)").alias("p25"),
+        F.array_sort(F.collect_list("nb")).alias("_all"),
     )
+    g = g.withColumn("p90", _quantile(F.col("_all"), 0.9)).withColumn("p25", _quantile(F.col("_all"), 0.25)).drop("_all")
     g = g.withColumn("cuts_min", F.col("cuts") / ((F.col("steps") + 1) * interval / 60))
     g = g.withColumn("static", F.lit(True)) if camera is None else g.join(camera, "video_id", "left").withColumn("static", F.coalesce("static", F.lit(True)))
     tier = F.when((F.col("still") >= 0.45) & (F.col("cuts_min") >= 0.5), 0).when((F.col("still") < 0.45) & F.col("static"), 1).when((F.col("median") > 20) | ~F.col("static"), 2).otherwise(0)
