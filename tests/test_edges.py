@@ -40,3 +40,16 @@ def test_components_are_scaled_in_their_own_width(spark, tmp_path):
     for name in ("picture_median", "picture_sharpness"):
         got, want = both(spark, tmp_path / name, name, embeddings=embeddings)
         assert len(got) >= 2 and got == want
+
+
+def test_quantiles_at_whole_numbers(spark, tmp_path):
+    # cuts of 60 + lo up to the 0.9 quantile's place, of `gap` more beyond it
+    cases = [(n, lo, gap) for n in (10, 15, 19, 29) for lo in (0, 1, 3, 6) for gap in (2, 5, 10, 15, 20, 25, 30, 40, 50, 60)]
+    rows = [(u, i, lo if i <= (n - 1) * 9 // 10 + 1 else lo + gap) for u, (n, lo, gap) in enumerate(cases) for i in range(n + 1)]
+    start = datetime.datetime(2024, 1, 1)
+    events = pa.table({
+        "event_id": pa.array([u * 1000 + i for u, i, _ in rows], pa.int64()), "ts": pa.array([start + datetime.timedelta(seconds=i) for _, i, _ in rows], pa.timestamp("us")),
+        "user_id": pa.array([u for u, _, _ in rows], pa.int64()), "event_type": ["purchase"] * len(rows), "value": [float(v) for _, _, v in rows],
+    })
+    got, want = both(spark, tmp_path, "still_profile", events=events)
+    assert len(got) == len(cases) and got == want
