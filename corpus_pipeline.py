@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, common, mixing, simhash, toxicity
 
+#: Pieces that the encoder remembers in a worker.
+PIECES = 100_000
 #: The stages draw, learn and encode in ways SQL has no form for; tests hold them against plain versions.
 ORACLE_SQL = None
 
@@ -27,10 +29,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): one row for each time a document is taken. The stages before leave less memory than speed."""
+    """(doc_id, n_tokens, ids): one row for each time a document is taken. The stages before leave less memory than speed:
+    the encoder remembers fewer pieces, and the bytes that the ids decode to are not made."""
     import public_tokenizers as P
 
-    done = bpe.encode(docs, bpe.read_ranks(spark, P.path("byte_bpe_multi_50k.tiktoken")), P.PATTERN, pieces=250_000)
+    done = bpe.encode(docs, bpe.read_ranks(spark, P.path("byte_bpe_multi_50k.tiktoken")), P.PATTERN, pieces=PIECES, decode=False)
     return done.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

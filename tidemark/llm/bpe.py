@@ -11,7 +11,7 @@ from __future__ import annotations
 import base64
 import math
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: How many pieces, and how many pairs of tokens, a worker remembers (beginnings: a sixth); past that it starts anew.
+#: How many pieces, and how many pairs of tokens, a worker remembers (beginnings: a sixth). Pieces and pairs are held in two
+#: halves: when the newer is full it becomes the older, from which what is met again is taken over; beginnings start anew.
 PIECES = 600_000
 #: Lengths of the beginnings whose tables are kept for the next piece that begins so.
 KEPT = (12, 9, 6)
 #: Bytes of text whose encoding goes into one output batch, at least one document.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -56,6 +57,7 @@ class Bpe:
         self.lengths = {e: sorted(set().union(n, *({k for k in ending.get(e[i:], ()) if k == len(e) - i} for i in range(1, len(e)))), reverse=True) for e, n in ending.items()}
         self.spines: dict[tuple[int, bool], list[tuple[bytes, float]]] = {}
         self.pairs: dict[int, bool] = {}  # by the left token's id above the right one's
+        self.older: dict[int, bool] = {}
         self.heads: dict[bytes, tuple[int, ...]] = {}
         self.memo = _Memo(self)
 
@@ -75,9 +77,13 @@ class Bpe:
         pair = left << 32 | right
         known = self.pairs.get(pair)
         if known is None:
-            if len(self.pairs) >= self.pieces:
-                self.pairs.clear()
-            known = self.pairs[pair] = self._apart(left, right)
+            known = self.older.get(pair)
+            if known is None:
+                known = self._apart(left, right)
+            if len(self.pairs) >= self.pieces // 2:
+                self.older = self.pairs.copy()
+                self.pairs.clear()  # extend() holds the table itself
+            self.pairs[pair] = known
         return known
 
     def _spine(self, token: int, right: bool) -> list[tuple[bytes, float]]:
@@ -177,12 +183,15 @@ class _Memo(dict):
     """Piece to its ids, packed."""
 
     def __init__(self, bpe: Bpe):
-        self.bpe = bpe
+        self.bpe, self.older = bpe, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.bpe.piece(piece.encode()), dtype="<i4").tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = np.array(self.bpe.piece(piece.encode()), dtype="<i4").tobytes()
         if len(piece) <= 256:
-            if len(self) >= self.bpe.pieces:
+            if len(self) >= self.bpe.pieces // 2:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -227,21 +236,12 @@ class Piece:
 _AT: dict[str, Bpe] = {}
 
 
-def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text", pieces: int = PIECES) -> DataFrame:
-    """(id, ids, decoded): each text's token ids, and the bytes that these ids decode to.
-
-    Whole texts; a null or empty one has no ids and decodes to no bytes. Repeated rows and null ids are kept as they
-    are. Other columns are not looked at. A worker remembers up to `pieces` pieces, some 150 bytes each.
-    """
-    spark = df.sparkSession
-    common.small_batches(spark)
-    sent, key = spark.sparkContext.broadcast(ranks), uuid.uuid4().hex
-
+def _encoder(ranks: Callable[[], dict[bytes, int]], key: str, pattern: str, pieces: int, decode: bool):
     def run(batches):
         bpe = _AT.get(key)
         if bpe is None:
             _AT.clear()
-            bpe = _AT[key] = Bpe(sent.value, pattern, pieces)
+            bpe = _AT[key] = Bpe(ranks(), pattern, pieces)
         for b in batches:
             texts = b.column(1)
             start = 0
@@ -251,14 +251,31 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_
                     t = texts[stop].as_py() or ""
                     size += len(t)
                     ids.append(bpe.encode(t))
-                    decoded.append(bpe.decode(ids[-1].tolist()))
+                    if decode:
+                        decoded.append(bpe.decode(ids[-1].tolist()))
                     stop += 1
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, stop - start), lists, pa.array(decoded, pa.binary())], ["id", "ids", "decoded"])
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32, copy=False)))
+                columns = {"id": b.column(0).slice(start, stop - start), "ids": lists}
+                if decode:
+                    columns["decoded"] = pa.array(decoded, pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
                 start = stop
 
-    return df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(common.frugal(run), "id long, ids array<int>, decoded binary")
+    return run
+
+
+def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text", pieces: int = PIECES, decode: bool = True) -> DataFrame:
+    """(id, ids, decoded): each text's token ids, and, unless `decode` is false, the bytes that these ids decode to.
+
+    Whole texts; a null or empty one has no ids and decodes to no bytes. Repeated rows and null ids are kept as they
+    are. Other columns are not looked at. A worker remembers up to `pieces` pieces, some 150 bytes each.
+    """
+    spark = df.sparkSession
+    common.small_batches(spark)
+    sent, key = spark.sparkContext.broadcast(ranks), uuid.uuid4().hex
+    run = _encoder(lambda: sent.value, key, pattern, pieces, decode)
+    return df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(common.frugal(run), "id long, ids array<int>" + ", decoded binary" * decode)
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
